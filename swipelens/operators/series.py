@@ -224,12 +224,14 @@ def interpolate_bfill(df: DataFrame, order: list[str], columns: list[str]) -> Da
     rows = segments.join(F.broadcast(edges), SEGMENT).withColumn(POSITION, at + F.col("_offset"))
     along = Window.partitionBy(SEGMENT).orderBy(POSITION)
     back = along.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = along.rowsBetween(0, Window.unboundedFollowing)
+    # The same frame from the far end: one that grows costs one step per row, one that
+    # shrinks is read again for every row.
+    ahead = Window.partitionBy(SEGMENT).orderBy(F.desc(POSITION)).rowsBetween(Window.unboundedPreceding, 0)
     here = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), F.col(POSITION).alias("i"))) for c in columns}
     rows = rows.withColumns(
         {f"_p_{c}": F.coalesce(F.last(here[c], ignorenulls=True).over(back), F.col(f"_before_{c}")) for c in columns}
     ).withColumns(
-        {f"_n_{c}": F.coalesce(F.first(here[c], ignorenulls=True).over(ahead), F.col(f"_after_{c}")) for c in columns}
+        {f"_n_{c}": F.coalesce(F.last(here[c], ignorenulls=True).over(ahead), F.col(f"_after_{c}")) for c in columns}
     )
 
     def filled(c: str) -> Column:

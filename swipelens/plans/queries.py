@@ -40,7 +40,12 @@ NUMERIC = ["amt", "lat", "long", "city_pop", "merch_lat", "merch_long"]
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Result types that compare across engines: BIGINT, rounded DOUBLE, text."""
+    """Result types that compare across engines: BIGINT, rounded DOUBLE, text.
+
+    Amounts are whole cents, so a mean can lie exactly halfway between two rounded values;
+    a small nudge makes every engine round it up.
+    """
+    nudge = 10.0 ** -(digits + 3)
     columns = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
@@ -49,9 +54,9 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
         elif isinstance(f.dataType, T.BooleanType):
             c = c.cast("int").cast("bigint")
         elif isinstance(f.dataType, (T.FractionalType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = F.round(c.cast("double") + nudge, digits) + F.lit(0.0)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = S.micros(c)
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         columns.append(c.alias(f.name))
@@ -161,7 +166,7 @@ def _(txn):
 
 @query("column_profile")
 def _(txn):
-    wide = history_features(txn).select(*txn.columns, "time_diff_hours", "stddev_amt_expanding")
+    wide = history_features(txn).select(*txn.columns, "time_diff_hours", "prev_lat")
     return Q.column_profile(wide.drop(C.TIME, "amt", "lat", "long", "merch_lat", "merch_long")).drop("column_type")
 
 
