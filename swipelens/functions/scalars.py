@@ -74,7 +74,8 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     half_lat = F.sin((phi2 - phi1) / 2)
     half_lon = F.sin((F.radians(_c(lon2)) - F.radians(_c(lon1))) / 2)
     chord = half_lat * half_lat + F.cos(phi1) * F.cos(phi2) * half_lon * half_lon
-    return F.asin(F.sqrt(F.least(F.lit(1.0), chord))) * (2 * EARTH_RADIUS_KM)
+    # Not least(): it would turn a missing coordinate into the antipode.
+    return F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord))) * (2 * EARTH_RADIUS_KM)
 
 
 def log_amount(x: Column | str) -> Column:

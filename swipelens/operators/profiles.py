@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
 from statistics import NormalDist
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -156,27 +160,37 @@ def _pairs(columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
 
 
-def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = 400) -> DataFrame:
-    """(column_a, column_b, corr) for each unordered pair; Pearson, in one pass.
+def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = 100) -> DataFrame:
+    """(column_a, column_b, corr) for each unordered pair; Pearson over complete pairs.
 
-    Wide tables are cut into chunks of pairs, so that one aggregation buffer stays small.
+    Columns without missing values share one pass of Spark's vector correlation. Pairs with
+    a missing value on either side are aggregated pair by pair, in chunks that keep an
+    aggregation buffer small.
     """
-    pairs = _pairs(columns)
-    found = None
-    for start in range(0, len(pairs), chunk):
-        part = pairs[start:start + chunk]
+    spark = df.sparkSession
+    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    nulls = cast.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    full = [c for c in columns if nulls[c] == 0]
+    found = []
+    if len(full) > 1:
+        vectors = VectorAssembler(inputCols=full, outputCol="_v").transform(cast).select("_v")
+        matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+        at = {c: i for i, c in enumerate(full)}
         cells = [
-            F.struct(
-                F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"),
-            )
-            for a, b in part
+            (a, b, None if math.isnan(matrix[at[a], at[b]]) else float(matrix[at[a], at[b]]))
+            for a, b in _pairs(full)
         ]
-        rows = df.agg(F.array(*cells).alias("_cells")).select(
-            F.explode("_cells").alias("_cell")
-        ).select("_cell.*")
-        found = rows if found is None else found.unionByName(rows)
-    return found
+        found.append(spark.createDataFrame(cells, "column_a STRING, column_b STRING, corr DOUBLE"))
+    rest = [(a, b) for a, b in _pairs(columns) if nulls[a] or nulls[b]]
+    for start in range(0, len(rest), chunk):
+        cells = [
+            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(a, b).alias("corr"))
+            for a, b in rest[start:start + chunk]
+        ]
+        found.append(
+            cast.agg(F.array(*cells).alias("_cells")).select(F.explode("_cells").alias("_cell")).select("_cell.*")
+        )
+    return reduce(DataFrame.unionByName, found)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from swipelens.operators.ordering import INDEX, SEGMENT, ordered_segments
 
-from swipelens.operators.ordering import running_totals
-from swipelens.sizing import broadcast_if_small
+#: Rank totals up to this many rows are matched on the driver.
+DRIVER_ROWS = 100_000
 
 
 def long_form(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -26,30 +32,81 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows (by..., column, prob, quantile).
 
-    Equal values are counted before anything is sorted, all columns share one range sort,
-    and each wanted rank is then read off the running counts. No task sees a whole column.
+    Equal values are counted before anything is sorted, and all columns share one range
+    sort. The totals per sort partition tell which partitions hold a wanted rank; only
+    those are read again. No task sees a whole column.
     """
     by = by or []
     group = [*by, "column"]
     counts = long_form(df, columns, by).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_n"))
-    upto = running_totals(counts, [*group, "value"], {"_upto": "_n"})
-    sizes = upto.groupBy(*group).agg(
-        F.sum("_n").alias("_rows"), F.min(F.col("_upto") - F.col("_n")).alias("_start")
+    segments = ordered_segments(counts, *group, "value")
+    totals = segments.groupBy(SEGMENT, *group).agg(F.sum("_n").alias("_n"))
+    # The sort groups equal keys, so there are at most (groups + sort partitions) totals.
+    found = totals.limit(DRIVER_ROWS + 1).collect()
+    if len(found) > DRIVER_ROWS:
+        return _by_running_counts(segments, totals, group, probs)
+
+    parts: dict[tuple, list[tuple[int, int]]] = {}
+    for r in sorted(found, key=lambda r: r[SEGMENT]):
+        parts.setdefault(tuple(r[c] for c in group), []).append((r[SEGMENT], r["_n"]))
+    wanted = []
+    for key, sizes in parts.items():
+        rows = sum(n for _, n in sizes)
+        for p in probs:
+            h = float(p) * (rows - 1)
+            for side, rank in ((0, math.floor(h)), (1, math.ceil(h))):
+                before = 0
+                for segment, n in sizes:
+                    if before <= rank < before + n:
+                        wanted.append((*key, segment, float(p), h - math.floor(h), side, rank - before))
+                        break
+                    before += n
+    keys = [segments.schema[c] for c in group]
+    extra = T.StructType.fromDDL("_s INT, prob DOUBLE, _share DOUBLE, _side INT, _rank BIGINT")
+    target = df.sparkSession.createDataFrame(
+        wanted, T.StructType([*[T.StructField(f"_g_{f.name}", f.dataType) for f in keys], *extra])
+    )
+    upto = F.sum("_n").over(
+        Window.partitionBy(SEGMENT, *group).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    near = segments.where(F.col(SEGMENT).isin(sorted({w[len(group)] for w in wanted}))).withColumn("_upto", upto)
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group]
+    # Two target rows per group and probability.
+    hits = near.join(
+        F.broadcast(target),
+        reduce(Column.__and__, same, F.col(SEGMENT) == F.col("_s"))
+        & (F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")),
+    )
+    low, high = (F.max(F.when(F.col("_side") == k, F.col("value"))) for k in (0, 1))
+    return hits.groupBy(*group, "prob").agg((low + (high - low) * F.max("_share")).alias("quantile"))
+
+
+def _by_running_counts(
+    segments: DataFrame, totals: DataFrame, group: list[str], probs: list[float]
+) -> DataFrame:
+    """The same for any number of groups: ranks come from a table with a row per group."""
+    span = Window.partitionBy(*group).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    # A group has as many totals as sort partitions it touches.
+    begins = totals.select(
+        SEGMENT, *group, F.coalesce(F.sum("_n").over(span), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(*group)).alias("_rows"),
+    )
+    inside = Window.partitionBy(SEGMENT, *group).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, 0)
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [SEGMENT, *group]]
+    upto = (
+        segments.withColumn("_upto", F.sum("_n").over(inside)).alias("s")
+        .join(begins.alias("b"), same)
+        .select(*[f"s.{c}" for c in group], "value", "_n", (F.col("_upto") + F.col("_before")).alias("_upto"), "_rows")
     )
-    ranks = (
-        sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    near = (
+        upto.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("_h", F.col("prob") * (F.col("_rows") - 1))
-        .withColumn("_lo", F.floor("_h"))
-        .withColumn("_hi", F.ceil("_h"))
+        .withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h"), "_first": F.col("_upto") - F.col("_n")})
+        .where((F.col("_first") <= F.col("_hi")) & (F.col("_upto") > F.col("_lo")))
     )
-    # Without groups this is one row per column and probability.
-    ranks = broadcast_if_small(ranks) if by else F.broadcast(ranks)
-    first = F.col("_upto") - F.col("_n") - F.col("_start")
-    last = F.col("_upto") - F.col("_start")
-    near = upto.join(ranks, group).where((first <= F.col("_hi")) & (last > F.col("_lo")))
-    low = F.max(F.when((first <= F.col("_lo")) & (last > F.col("_lo")), F.col("value")))
-    high = F.max(F.when((first <= F.col("_hi")) & (last > F.col("_hi")), F.col("value")))
-    share = F.first(F.col("_h") - F.col("_lo"))
+    low = F.max(F.when((F.col("_first") <= F.col("_lo")) & (F.col("_upto") > F.col("_lo")), F.col("value")))
+    high = F.max(F.when((F.col("_first") <= F.col("_hi")) & (F.col("_upto") > F.col("_hi")), F.col("value")))
+    share = F.max(F.col("_h") - F.col("_lo"))
     return near.groupBy(*group, "prob").agg((low + (high - low) * share).alias("quantile"))
 
 

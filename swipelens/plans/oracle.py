@@ -31,7 +31,7 @@ def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
         f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)"
     )
-    return f"2 * 6371.0::double * asin(sqrt(least(1, {a})))"
+    return f"2 * 6371.0::double * asin(sqrt(case when ({a}) > 1 then 1 else {a} end))"
 
 
 def age(dob: str, on: str) -> str:
