@@ -117,3 +117,14 @@ def nan_to_null(x: Column | str) -> Column:
     """Missing numbers are null everywhere: Spark orders NaN above every number."""
     x = _c(x)
     return F.when(~F.isnan(x), x)
+
+
+def correlation(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation over complete pairs as an aggregate; null without spread.
+
+    Spark's own ``corr`` fails on a constant side when division by zero is an error.
+    """
+    x, y = _c(x).cast("double"), _c(y).cast("double")
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.sqrt(F.var_pop(both_x) * F.var_pop(both_y))
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))

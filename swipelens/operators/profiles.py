@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipelens import config as C
+from swipelens.functions.scalars import correlation
 from swipelens.operators.ordering import running_totals
 from swipelens.operators.quality import unpivot, value_counts
 from swipelens.operators.quantiles import exact_quantiles, quantile_values
@@ -184,7 +185,7 @@ def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = 100) -> Da
     rest = [(a, b) for a, b in _pairs(columns) if nulls[a] or nulls[b]]
     for start in range(0, len(rest), chunk):
         cells = [
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(a, b).alias("corr"))
+            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), correlation(a, b).alias("corr"))
             for a, b in rest[start:start + chunk]
         ]
         found.append(
@@ -208,7 +209,7 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def target_correlations(df: DataFrame, columns: list[str], target: str = C.TARGET) -> DataFrame:
     """Correlation of each column with the target, highest first."""
-    totals = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in columns])
+    totals = df.agg(*[correlation(c, target).alias(c) for c in columns])
     return unpivot(totals, columns, "column", "corr").orderBy(F.desc("corr"), "column")
 
 

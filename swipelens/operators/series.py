@@ -7,6 +7,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from swipelens.functions.scalars import correlation
 from swipelens.operators.ordering import (
     BLOCK_ROWS, INDEX, POSITION, SEGMENT, ordered_segments, row_blocks, with_position,
 )
@@ -112,8 +113,11 @@ def rolling_corr(
     """Pearson correlation over the trailing ``window`` rows; full windows only."""
     rows, along = row_blocks(df, order, window - 1, 0, block_rows)
     trailing = along.rowsBetween(-(window - 1), 0)
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    spread = F.sqrt(F.var_pop(a).over(trailing) * F.var_pop(b).over(trailing))
     return (
-        rows.withColumn("rolling_corr", F.corr(F.col(x).cast("double"), F.col(y).cast("double")).over(trailing))
+        rows.withColumn("rolling_corr", F.covar_pop(a, b).over(trailing) / F.nullif(spread, F.lit(0.0)))
         .where(F.col("_own") & (F.col(POSITION) >= window - 1))
         .drop("_block", "_own", POSITION)
     )
@@ -138,7 +142,7 @@ def lagged_corr(
     rows, along = row_blocks(df, order, 0, max_shift, block_rows)
     moved = {f"_y{k}": F.lead(F.col(y).cast("double"), k).over(along) for k in range(max_shift + 1)}
     cells = [
-        F.struct(F.lit(-k).alias("shift"), F.corr(F.col(x).cast("double"), F.col(f"_y{k}")).alias("corr"))
+        F.struct(F.lit(-k).alias("shift"), correlation(x, f"_y{k}").alias("corr"))
         for k in range(max_shift, -1, -1)
     ]
     found = (

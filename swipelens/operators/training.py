@@ -23,6 +23,7 @@ from swipelens.operators.metrics import (
     best_by, classification_metrics, evaluate_scores, fold_means, rank_metrics,
 )
 from swipelens.operators.splits import balance_data
+from swipelens.session import materialize
 
 WEIGHT = "weight"
 STRATEGIES = ("class_weight", "undersample")
@@ -63,15 +64,18 @@ def _counts(df: DataFrame, target: str) -> tuple[int, int]:
     return row["p"], row["n"]
 
 
-def weight_column(df: DataFrame, target: str = C.TARGET, positives_only: bool = False) -> Column:
-    """Row weight: balanced per class, or negatives per positive on the positives alone."""
-    pos, neg = _counts(df, target)
+def _weights(pos: int, neg: int, positives_only: bool) -> tuple[float, float]:
+    """Row weights of a negative and of a positive."""
     if positives_only:
-        return F.when(F.col(target) == 1, F.lit(neg / pos if pos else 1.0)).otherwise(1.0)
+        return 1.0, neg / pos if pos else 1.0
     rows, classes = pos + neg, (pos > 0) + (neg > 0)
-    return F.when(F.col(target) == 1, F.lit(rows / (classes * pos) if pos else 1.0)).otherwise(
-        F.lit(rows / (classes * neg) if neg else 1.0)
-    )
+    return rows / (classes * neg) if neg else 1.0, rows / (classes * pos) if pos else 1.0
+
+
+def weight_column(df: DataFrame, target: str = C.TARGET, positives_only: bool = False) -> Column:
+    """Row weight: balanced per class, or negatives per positive on the positives alone."""
+    negative, positive = _weights(*_counts(df, target), positives_only)
+    return F.when(F.col(target) == 1, F.lit(positive)).otherwise(F.lit(negative))
 
 
 def estimator(name: str, params: dict, target: str, weight: str | None, seed: int, weight_sum: float):
@@ -101,10 +105,12 @@ def train(
     if name not in PRESETS:
         raise ValueError(f"unknown model {name!r}; choose from {list(PRESETS)}")
     weighted = strategy == "class_weight"
+    pos, neg = _counts(df, target)
+    negative, positive = _weights(pos, neg, name == "XGBoost") if weighted else (1.0, 1.0)
     rows = df.select("features", target)
     if weighted:
-        rows = rows.withColumn(WEIGHT, weight_column(df, target, positives_only=name == "XGBoost"))
-    total = float(rows.agg(F.sum(WEIGHT) if weighted else F.count(F.lit(1))).first()[0] or 0)
+        rows = rows.withColumn(WEIGHT, F.when(F.col(target) == 1, F.lit(positive)).otherwise(F.lit(negative)))
+    total = positive * pos + negative * neg
     return estimator(name, params, target, WEIGHT if weighted else None, seed, total).fit(rows)
 
 
@@ -150,7 +156,8 @@ def score_rows(model: Model, df: DataFrame, target: str = C.TARGET, keep: list[s
 
 
 def evaluate_model(model: Model, df: DataFrame, name: str, target: str = C.TARGET) -> DataFrame:
-    return evaluate_scores(score_rows(model, df, target), name)
+    """Counts, rates and curve measures; the rows are scored once."""
+    return evaluate_scores(materialize(score_rows(model, df, target)), name)
 
 
 def evaluate_all(models: dict[str, Model], df: DataFrame, target: str = C.TARGET) -> DataFrame:
@@ -233,6 +240,7 @@ def param_search(
         found = []
         for fit_rows, held_out in prepared:
             scored = score_rows(train(fit_rows, name, target, strategy, seed, **params), held_out, target)
+            # Either measure reads the scores once.
             if score == "f1":
                 found.append(classification_metrics(scored, inclusive=False).first()["f1"])
             else:
@@ -294,7 +302,7 @@ def ratio_sweep(
         scored = score_rows(model, held_out, target)
         if calibrated:
             scored = calibrate(score_rows(model, fit_rows, target))(scored)
-        rows.append(evaluate_scores(scored, name).withColumn("ratio", F.lit(float(ratio))))
+        rows.append(evaluate_scores(materialize(scored), name).withColumn("ratio", F.lit(float(ratio))))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(8, partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     # Small partitions stay apart, so that what crosses a sort segment is tested too.
     session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
