@@ -46,8 +46,16 @@ def test_exact_quantiles(numbers, monkeypatch):
     df, rows = numbers
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     want = {(g, p): np.quantile([r[1] for r in rows if r[2] == g], p) for g in (0, 1) for p in probs}
-    for limit in (100_000, 0):
-        monkeypatch.setattr(N, "DRIVER_ROWS", limit)
+    brackets = N._brackets
+    changes = [
+        ("DRIVER_ROWS", 100_000),
+        ("DRIVER_ROWS", 40),  # too many counts, few totals
+        ("_brackets", lambda df, c, p, b: brackets(df, c, [0.4] * len(p), b)),  # most ranks missed
+        ("DRIVER_GROUPS", 1),
+        ("DRIVER_ROWS", 0),
+    ]
+    for name, value in changes:
+        monkeypatch.setattr(N, name, value)
         got = {(r["g"], r["prob"]): r["quantile"] for r in N.exact_quantiles(df, ["x"], probs, ["g"]).collect()}
         assert got == pytest.approx(want)
 
