@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 
 from swipelens import config as C
 from swipelens.functions.scalars import haversine_km, micros
-from swipelens.sizing import KeyProfile, hot_keys
+from swipelens.sizing import KeyProfile, hot_keys, hot_threshold
 
 #: Largest card for which the trailing range frame is used.
 DENSE_ROWS = 50_000
 #: A card below this many rows is never cut into periods.
 HOT_ROWS = 1_000_000
-#: Length of one period of a cut card.
-PERIOD = "1h"
+#: Longest and shortest period of a cut card, in microseconds.
+LONGEST_PERIOD = 3_600_000_000
+SHORTEST_PERIOD = 1_000_000
 
 PREVIOUS = ["prev_lat", "prev_long", f"prev_{C.TIME}"]
 SPREAD = ["avg_amt_expanding", "stddev_amt_expanding"]
@@ -173,6 +174,14 @@ def _by_period(
     )
 
 
+def _period(profile: KeyProfile, threshold: int, period: str | None) -> int:
+    """Period length that leaves about ``threshold`` rows of the largest card in each."""
+    if period is not None:
+        return C.window_micros(period)
+    even = profile.span * max(threshold, 1) // max(profile.max_rows, 1)
+    return max(SHORTEST_PERIOD, min(LONGEST_PERIOD, even))
+
+
 def card_windows(
     df: DataFrame,
     window: str = C.RECENT_WINDOW,
@@ -181,7 +190,7 @@ def card_windows(
     tie: str = C.ROW_ID,
     dense_rows: int = DENSE_ROWS,
     hot_rows: int = HOT_ROWS,
-    period: str = PERIOD,
+    period: str | None = None,
 ) -> DataFrame:
     """Previous position and time, expanding mean and spread, trailing count and sum.
 
@@ -189,12 +198,13 @@ def card_windows(
     largest card; it changes the plan, never the values.
     """
     span = C.window_micros(window)
-    profile = KeyProfile.measure(df, key)
+    profile = KeyProfile.measure(df, key, micros(time))
     if profile.max_rows <= dense_rows:
         found = _by_card(df, key, time, tie, span)
     else:
-        hot = hot_keys(df, key, profile.rows, hot_rows)
-        found = _by_period(df, key, time, tie, span, hot, C.window_micros(period))
+        threshold = hot_threshold(profile.rows, hot_rows)
+        hot = hot_keys(df, key, threshold)
+        found = _by_period(df, key, time, tie, span, hot, _period(profile, threshold, period))
     return found.withColumns(
         {
             "prev_lat": F.col("_previous.lat"),
@@ -238,7 +248,11 @@ def card_profile(df: DataFrame, key: str = C.KEY) -> DataFrame:
 
 
 def with_card_profile(df: DataFrame, key: str = C.KEY) -> DataFrame:
-    """Left join of the card statistics onto every row."""
+    """Left join of the card statistics onto every row.
+
+    The statistics are summed on the map side. No hint is given: Spark broadcasts them when
+    they are small, and splits a hot card at run time when they are not.
+    """
     return df.join(card_profile(df, key), key, "left")
 
 

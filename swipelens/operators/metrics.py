@@ -128,9 +128,9 @@ def evaluate_scores(
 
 
 def _beside(left: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Columns of a one-row table next to every row of another, as scalar subqueries."""
-    cell = one_row.select(F.struct(*one_row.columns).alias("_row")).scalar()
-    return left.withColumns({c: cell[c] for c in one_row.columns})
+    """The values of a one-row table next to every row of another."""
+    row = one_row.first()
+    return left.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in one_row.schema})
 
 
 # Cost

@@ -400,11 +400,10 @@ def iqr_cleaned(df: DataFrame, column: str, multiplier: float = 1.5) -> DataFram
 
 def shape_summary(df: DataFrame, column: str) -> DataFrame:
     """Description of one column plus population skewness and excess kurtosis."""
-    shape = df.agg(
-        F.lit(column).alias("column"), F.skewness(column).alias("skewness"),
-        F.kurtosis(column).alias("kurtosis"),
+    shape = df.agg(F.skewness(column).alias("skewness"), F.kurtosis(column).alias("kurtosis")).first()
+    return describe_numeric(df, [column]).withColumns(
+        {name: F.lit(value).cast("double") for name, value in shape.asDict().items()}
     )
-    return describe_numeric(df, [column]).join(F.broadcast(shape), "column")
 
 
 def box_numbers(df: DataFrame, column: str, by: str, multiplier: float = 1.5) -> DataFrame:
@@ -491,17 +490,15 @@ def mae_mape(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def min_max_scale(df: DataFrame, column: str, into: str) -> DataFrame:
     """(x - min) / (max - min), 0 for a constant column."""
-    edge = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("e")).scalar()
-    spread = edge["hi"] - edge["lo"]
-    return df.withColumn(
-        into,
-        F.when(spread == 0, F.lit(0.0)).otherwise((F.col(column) - edge["lo"]) / F.nullif(spread, F.lit(0.0))),
-    )
+    edge = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    if edge["lo"] is None or edge["lo"] == edge["hi"]:
+        return df.withColumn(into, F.when(F.col(column).isNotNull(), F.lit(0.0)))
+    return df.withColumn(into, (F.col(column) - edge["lo"]) / F.lit(float(edge["hi"] - edge["lo"])))
 
 
 def z_scale(df: DataFrame, column: str, into: str) -> DataFrame:
     """(x - mean) / sample std; null for a constant column."""
-    stats = df.agg(
-        F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std")).alias("s")
-    ).scalar()
-    return df.withColumn(into, (F.col(column) - stats["mean"]) / F.nullif(stats["std"], F.lit(0.0)))
+    stats = df.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std")).first()
+    if not stats["std"]:
+        return df.withColumn(into, F.lit(None).cast("double"))
+    return df.withColumn(into, (F.col(column) - stats["mean"]) / F.lit(stats["std"]))

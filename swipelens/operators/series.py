@@ -63,12 +63,15 @@ def band_anomalies(
 
     The residuals of the first and last ``window // 2`` rows do not enter the band width.
     """
+    rows = df.count()
     smooth = centered_moving_avg(df, order, value, window, block_rows=block_rows)
     gap = F.col(value) - F.col("moving_avg")
     half = window // 2
-    last = smooth.agg(F.max(POSITION).alias("p")).scalar()
-    inner = smooth.where((F.col(POSITION) >= half) & (F.col(POSITION) <= last - half))
-    width = inner.agg((F.avg(F.abs(gap)) + F.stddev_pop(gap) * scale).alias("w")).scalar()
+    inner = smooth.where((F.col(POSITION) >= half) & (F.col(POSITION) < rows - half))
+    band = inner.agg(F.avg(F.abs(gap)).alias("mae"), F.stddev_pop(gap).alias("std")).first()
+    if band["mae"] is None:
+        raise ValueError("the series has no row inside the window margins")
+    width = band["mae"] + scale * band["std"]
     return (
         smooth.withColumns(
             {"lower_bound": F.col("moving_avg") - width, "upper_bound": F.col("moving_avg") + width}

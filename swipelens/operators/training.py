@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -44,18 +44,14 @@ PRESETS: dict[str, dict] = {
 
 def class_weights(df: DataFrame, target: str = C.TARGET) -> DataFrame:
     """(class, n, weight, ratio): balanced weight n / (classes * n_c), and negatives per positive."""
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(
-        F.struct(
-            F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"),
-            F.sum(F.when(F.col(target) == 0, F.col("n"))).alias("neg"),
-            F.sum(F.when(F.col(target) == 1, F.col("n"))).alias("pos"),
-        ).alias("t")
-    ).scalar()
-    return counts.select(
+    # One row per class.
+    every = Window.partitionBy(F.lit(1))
+    n = F.col("n")
+    negatives, positives = (F.sum(F.when(F.col(target) == k, n)).over(every) for k in (0, 1))
+    return df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).select(
         target, "n",
-        (totals["rows"] / (totals["classes"] * F.col("n"))).alias("weight"),
-        F.coalesce(totals["neg"] / F.nullif(totals["pos"], F.lit(0)), F.lit(1.0)).alias("neg_pos_ratio"),
+        (F.sum(n).over(every) / (F.count(F.lit(1)).over(every) * n)).alias("weight"),
+        F.coalesce(negatives / F.nullif(positives, F.lit(0)), F.lit(1.0)).alias("neg_pos_ratio"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A lookup side up to this many rows is broadcast; a larger one is joined by shuffle.
@@ -23,27 +23,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= max_rows else df
 
 
+def hot_threshold(rows: int, min_rows: int) -> int:
+    """A key with more rows than this is hot. At most HOT_SHARE keys can be."""
+    return max(min_rows, rows // HOT_SHARE)
+
+
 @dataclass(frozen=True)
 class KeyProfile:
     """Row counts that decide how windows over one key are laid out."""
 
     rows: int
     max_rows: int
+    span: int
 
     @classmethod
-    def measure(cls, df: DataFrame, key: str) -> "KeyProfile":
-        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        row = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("max_rows")).first()
-        return cls(int(row["rows"] or 0), int(row["max_rows"] or 0))
-
-
-def hot_keys(df: DataFrame, key: str, rows: int, min_rows: int) -> DataFrame:
-    """Keys above ``max(min_rows, rows / HOT_SHARE)`` rows, as a local table.
-
-    No more than HOT_SHARE keys can pass the second term, so the table may be collected
-    and broadcast whatever the data.
-    """
-    threshold = max(min_rows, rows // HOT_SHARE)
+    def measure(cls, df: DataFrame, key: str, at: Column) -> "KeyProfile":
+        """One pass over key and order column; ``at`` is a number such as microseconds."""
+        per_key = df.select(key, at.alias("_at")).groupBy(key).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_at").alias("lo"), F.max("_at").alias("hi")
+        )
+        row = per_key.agg(
+            F.sum("n").alias("rows"), F.max("n").alias("max_rows"),
+            (F.max("hi") - F.min("lo")).alias("span"),
+        ).first()
+        return cls(int(row["rows"] or 0), int(row["max_rows"] or 0), int(row["span"] or 0))
+
+
+def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
+    """Keys above ``hot_threshold`` rows as a local table, small enough to broadcast."""
     found = (
         df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > threshold)
         .select(key).collect()

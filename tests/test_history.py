@@ -10,7 +10,7 @@ from swipelens.plans.features import feature_engineering, history_features, leak
 LAYOUTS = [
     {},
     {"dense_rows": 0},
-    {"dense_rows": 0, "hot_rows": 0, "period": "1h"},
+    {"dense_rows": 0, "hot_rows": 0},
     {"dense_rows": 0, "hot_rows": 0, "period": "7h"},
 ]
 CHECKED = [*H.SPREAD, *H.RECENT, "amt_zscore_expanding", "amt_is_outlier", "time_diff_hours"]
