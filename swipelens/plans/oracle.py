@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from swipelens.operators.metrics import threshold_grid
 
 CUT = "timestamp '2024-01-22'"
@@ -42,8 +44,8 @@ def age(dob: str, on: str) -> str:
 
 
 def r(expression: str, name: str, digits: int = 6) -> str:
-    """Rounded as in ``queries.tidy``, with the same nudge off exact halves."""
-    return f"round({expression} + 1e-{digits + 3}, {digits}) as {name}"
+    """Rounded as in ``queries.tidy``: the same nudge off exact halves, and no negative zero."""
+    return f"round({expression} + 1e-{digits + 3}, {digits}) + 0e0 as {name}"
 
 
 def at(expression: str, name: str) -> str:
@@ -320,7 +322,20 @@ def oracle_sql() -> dict[str, str]:
             ["avg_amt_expanding", "stddev_amt_expanding", "txn_count_recent", "amt_sum_recent", "time_diff_hours"]
         ) + " from hist where not in_train"
     )
-    q["leak_probe"] = "select cast(0 as bigint) as n_changed"
+    changed = re.sub(r"\b(timed|hist\d?)\b", r"late_\1", windows(source="altered"))
+    compared = [
+        "avg_amt_expanding", "stddev_amt_expanding", "txn_count_recent", "amt_sum_recent",
+        "amt_zscore_expanding", "amt_is_outlier", "transaction_velocity_kmh",
+    ]
+    late = "trans_date_trans_time > timestamp '2024-01-15'"
+    q["leak_probe"] = with_(
+        TXN, windows(),
+        f"altered as (select * replace (case when {late} then 99999.0::double else amt end as amt) from txn)",
+        changed,
+    ) + (
+        f"select count(*) as n_changed from hist a join late_hist b using (trans_num) where not a.{late} and ("
+        + " or ".join(f"a.{c} is distinct from b.{c}" for c in compared) + ")"
+    )
     q["centered_moving_avg"] = hourly + (
         f"select {at('hour', 'hour')}, n, {r(moving('hour', 'n', 24), 'moving_avg')} from hourly"
     )
