@@ -4,7 +4,9 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "events"]
+TABLES = [
+    "region", "nation", "customer", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 SQL = entry.oracle_sql()
 
 
