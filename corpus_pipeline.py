@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import host_rules
+from swipelens.llm import host_rules, simhash
 from swipelens.llm.common import table
 from swipelens.session import new_path
 
@@ -16,8 +16,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return host_rules.quality_rules(docs).where("kept").select(COLUMNS)
 
 
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of SimHash near-duplicates, that with the smallest id."""
+    return simhash.keep_one(simhash.near_duplicates(docs, keep_text=True)).select(COLUMNS)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("simhash near-dedup", dedup),
 ]
 
 #: The fingerprints have no counterpart in SQL; the tests compare with a brute-force version.

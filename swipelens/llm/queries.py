@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import host_rules
+from swipelens.llm import host_rules, simhash
 from swipelens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     judged = host_rules.quality_rules(docs, keep_text=False)
@@ -19,5 +24,6 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_simhash": op3_simhash,
     "op5_host_quality": op5_host_quality,
 }
