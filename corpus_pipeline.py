@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from swipelens.llm import host_rules, simhash
+from swipelens.llm import host_rules, secret_scan, simhash
 from swipelens.llm.common import table
 from swipelens.session import new_path
 
@@ -21,9 +22,16 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(simhash.near_duplicates(docs, keep_text=True)).select(COLUMNS)
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret by a mask; the documents stay."""
+    clean = secret_scan.redact(secret_scan.scan(docs))
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(COLUMNS)
+
+
 STAGES = [
     ("quality rules", quality),
     ("simhash near-dedup", dedup),
+    ("secret scans", secrets),
 ]
 
 #: The fingerprints have no counterpart in SQL; the tests compare with a brute-force version.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from swipelens.llm import host_rules
+from swipelens.llm.secret_scan import BASE_RULES, RULES, Rule
 
 #: White space and symbols as in the operators, in the notation of the SQL engine.
 _GAP = r"[\x20\x09-\x0D]+"
@@ -61,8 +62,38 @@ judged AS (
 )"""
 
 
+def _spans_of(order: int, rule: Rule) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""
+    SELECT doc_id, {order} AS k, '{rule.kind}' AS kind, s, s + length(hits[i]) AS e
+    FROM (SELECT *, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                    + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s
+          FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
+                FROM (SELECT doc_id, regexp_extract_all(t, {pattern}) AS hits,
+                             regexp_extract_all(t, {pattern}, {rule.group}) AS sized,
+                             string_split_regex(t, {pattern}) AS gaps
+                      FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))))
+    WHERE length(sized[i]) >= {rule.least}"""
+
+
+def secret_spans() -> str:
+    """Spans of every rule by splitting at the matches (unique doc_id)."""
+    listed = "string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k)"
+    counts = ", ".join(f"count(*) FILTER (k = {i}) AS n_{r.kind}" for i, r in enumerate(BASE_RULES))
+    return f"""
+WITH spans AS ({" UNION ALL ".join(_spans_of(i, r) for i, r in enumerate(RULES))}),
+lists AS (
+    SELECT doc_id, {counts}, {listed} FILTER (k < {len(BASE_RULES)}) AS base, {listed} AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN lists USING (doc_id)"""
+
+
 ORACLE: dict[str, str] = {
     "op5_host_quality": f"""
 WITH {document_metrics('documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
+    "op6_secret_scan": secret_spans(),
 }

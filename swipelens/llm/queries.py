@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import host_rules, simhash
+from swipelens.llm import host_rules, secret_scan, simhash
 from swipelens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,13 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_rules.METRICS, "base_failed", "kept")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.report(secret_scan.scan(docs)).select("doc_id", *secret_scan.RESULTS)
+
+
 QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op5_host_quality": op5_host_quality,
+    "op6_secret_scan": op6_secret_scan,
 }
