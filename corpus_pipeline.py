@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelens.llm import host_rules, secret_scan, simhash
+from swipelens.llm import host_rules, mixing, secret_scan, simhash
 from swipelens.llm.common import table
 from swipelens.session import new_path
 
@@ -28,10 +28,17 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(COLUMNS)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or cut the sources to their budgets; a document that is taken twice comes twice."""
+    mixed = mixing.expand(mixing.mix(docs, keep_text=True))
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+
+
 STAGES = [
     ("quality rules", quality),
     ("simhash near-dedup", dedup),
     ("secret scans", secrets),
+    ("mixing sources", mix),
 ]
 
 #: The fingerprints have no counterpart in SQL; the tests compare with a brute-force version.

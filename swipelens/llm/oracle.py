@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from swipelens.llm import host_rules
+from swipelens.llm import host_rules, mixing
 from swipelens.llm.secret_scan import BASE_RULES, RULES, Rule
 
 #: White space and symbols as in the operators, in the notation of the SQL engine.
@@ -91,9 +91,49 @@ SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for
 FROM documents d LEFT JOIN lists USING (doc_id)"""
 
 
+def mixture() -> str:
+    """Targets by caps in order of their ratio, then the cut along the hash keys (unique doc_id)."""
+    weights = ", ".join(map(str, mixing.WEIGHTS))
+    up, down = mixing.SHARE
+    return f"""
+WITH d AS (
+    SELECT doc_id, source, CAST(len({_words('text')}) AS BIGINT) AS size,
+           CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 15) AS BIGINT) AS k
+    FROM documents
+),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS n,
+           [{weights}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}] AS w
+    FROM d GROUP BY source
+),
+a AS (
+    SELECT *, sum(n) OVER () AS all_n, sum(w) OVER () AS all_w,
+           sum({mixing.MOST} * n) OVER o AS caps, sum(w) OVER o AS ws
+    FROM s WINDOW o AS (ORDER BY {mixing.MOST} * n / w::DOUBLE)
+),
+f AS (SELECT *, {down} * (caps * w + {mixing.MOST} * n * (all_w - ws)) <= {up} * all_n * w AS is_full FROM a),
+t AS (
+    SELECT source, n, CASE WHEN is_full THEN CAST({mixing.MOST} * n AS DOUBLE) ELSE
+        CAST(({up} * all_n - {down} * coalesce(sum({mixing.MOST} * n) FILTER (is_full) OVER (), 0)) * w AS DOUBLE)
+        / CAST({down} * (all_w - coalesce(sum(w) FILTER (is_full) OVER (), 0)) AS DOUBLE) END AS target
+    FROM f
+),
+p AS (
+    SELECT doc_id, size, n AS source_size, target,
+           CASE WHEN n > 0 THEN CAST(floor(target) AS BIGINT) // n ELSE 0 END AS passes,
+           CAST(floor(target) AS BIGINT) AS budget,
+           sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(passes * size + greatest(0, least(size, budget - passes * source_size - before)) AS BIGINT) AS taken
+FROM p"""
+
+
 ORACLE: dict[str, str] = {
     "op5_host_quality": f"""
 WITH {document_metrics('documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
     "op6_secret_scan": secret_spans(),
+    "op9_mixing": mixture(),
 }

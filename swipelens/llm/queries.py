@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import host_rules, secret_scan, simhash
+from swipelens.llm import host_rules, mixing, secret_scan, simhash
 from swipelens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(docs)).select("doc_id", *secret_scan.RESULTS)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", *mixing.RESULTS)
+
+
 QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op5_host_quality": op5_host_quality,
     "op6_secret_scan": op6_secret_scan,
+    "op9_mixing": op9_mixing,
 }
