@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelens.llm import host_rules, mixing, secret_scan, simhash
+from swipelens.llm import bpe, host_rules, mixing, secret_scan, simhash
 from swipelens.llm.common import table
 from swipelens.session import new_path
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -34,11 +36,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left."""
+    return bpe.encode(docs, TOKENIZER).select("doc_id", "lang", "source", "ids")
+
+
 STAGES = [
     ("quality rules", quality),
     ("simhash near-dedup", dedup),
     ("secret scans", secrets),
     ("mixing sources", mix),
+    ("bpe encoding", encode),
 ]
 
 #: The fingerprints have no counterpart in SQL; the tests compare with a brute-force version.

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import host_rules, mixing, secret_scan, simhash
+from swipelens.llm import bpe, host_rules, mixing, secret_scan, simhash
 from swipelens.llm.common import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -17,6 +20,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, TOKENIZER).select("doc_id", *bpe.RESULTS)
+
+
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     judged = host_rules.quality_rules(docs, keep_text=False)
@@ -35,6 +43,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
+    "op4_bpe": op4_bpe,
     "op5_host_quality": op5_host_quality,
     "op6_secret_scan": op6_secret_scan,
     "op9_mixing": op9_mixing,
