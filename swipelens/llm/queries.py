@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import bpe, host_rules, mixing, secret_scan, simhash
+from swipelens.llm import bpe, host_rules, mixing, secret_scan, simhash, wavelet
 from swipelens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +36,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(docs)).select("doc_id", *secret_scan.RESULTS)
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wavelet.shard_report(docs, TOKENIZER)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", *mixing.RESULTS)
@@ -46,5 +51,6 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_host_quality": op5_host_quality,
     "op6_secret_scan": op6_secret_scan,
+    "op7_token_shards": op7_token_shards,
     "op9_mixing": op9_mixing,
 }
