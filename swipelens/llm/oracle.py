@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from swipelens.llm import host_rules, mixing
 from swipelens.llm.secret_scan import BASE_RULES, RULES, Rule
+from swipelens.llm.warc import REVISIT_BYTES
 
 #: White space and symbols as in the operators, in the notation of the SQL engine.
 _GAP = r"[\x20\x09-\x0D]+"
@@ -135,5 +136,11 @@ ORACLE: dict[str, str] = {
 WITH {document_metrics('documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
     "op6_secret_scan": secret_spans(),
+    "op8_warc": f"""
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= {REVISIT_BYTES} AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {REVISIT_BYTES} AND page_id < first THEN first END AS refers_to
+FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha1(coalesce(html, '')) AS digest,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)""",
     "op9_mixing": mixture(),
 }

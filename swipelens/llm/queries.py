@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import bpe, host_rules, mixing, secret_scan, simhash, wavelet
+from swipelens.llm import bpe, host_rules, mixing, secret_scan, simhash, warc, wavelet
 from swipelens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,10 @@ def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.shard_report(docs, TOKENIZER)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_report(table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", *mixing.RESULTS)
@@ -52,5 +56,6 @@ QUERIES: dict[str, Query] = {
     "op5_host_quality": op5_host_quality,
     "op6_secret_scan": op6_secret_scan,
     "op7_token_shards": op7_token_shards,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
 }
