@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import bpe, extract, host_rules, mixing, secret_scan, simhash, warc, wavelet
+from swipelens.llm import bpe, extract, hnsw, host_rules, mixing, secret_scan, simhash, warc, wavelet
 from swipelens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,10 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", *extract.RESULTS)
 
 
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -56,6 +60,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
+    "op2_hnsw": op2_hnsw,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_host_quality": op5_host_quality,
