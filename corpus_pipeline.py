@@ -38,7 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
-    return bpe.encode(docs, TOKENIZER).select("doc_id", "lang", "source", "ids")
+    encoded = bpe.encode(docs, TOKENIZER)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

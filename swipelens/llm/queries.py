@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import bpe, extract, hnsw, host_rules, mixing, secret_scan, simhash, warc, wavelet
+from swipelens.llm import bpe, chat, extract, hnsw, host_rules, mixing, secret_scan, simhash, warc, wavelet
 from swipelens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", *mixing.RESULTS)
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_hnsw": op2_hnsw,
@@ -68,4 +72,5 @@ QUERIES: dict[str, Query] = {
     "op7_token_shards": op7_token_shards,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op10_chat_format": op10_chat_format,
 }
