@@ -2,17 +2,17 @@
 
 Every feature of a row reads only rows that come before it: the previous transaction, the
 mean and spread of all earlier amounts, and the count and sum over a trailing window that
-ends just before the row's own instant.
+ends just before the row's own instant. Amounts are summed as decimals with eight places, so
+the trailing sum is the same in whatever order it is made.
 
-Two layouts give the same values.
+Two layouts give the same values, and each card takes the one that fits its size.
 
 * By card. One shuffle and one sort serve all windows. A trailing range frame visits the
-  rows inside the window again for every row, so this is used while no card is large.
-* By card and period. Used as soon as one card exceeds ``dense_rows``. The trailing window
-  becomes a running total: each row enters it at its instant and leaves it one window later,
-  as a second narrow row, so the cost per row no longer grows with the window. Cards that
-  hold a large share of all rows are also cut into periods; each period starts from the
-  merged totals of the earlier ones.
+  rows inside the window again for every row, so this is for cards up to ``dense_rows``.
+* By card and period. For larger cards the trailing window becomes a running total: each row
+  enters it at its instant and leaves it one window later, as a second narrow row, so the cost
+  per row no longer grows with the window. Cards above ``hot_rows`` are also cut into periods;
+  each period starts from the merged totals of the earlier ones.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from swipelens import config as C
 from swipelens.functions.scalars import haversine_km, micros
-from swipelens.sizing import KeyProfile, hot_keys, hot_threshold
+from swipelens.session import materialize
+from swipelens.sizing import KeyProfile, broadcast_if_small
 
 #: Largest card for which the trailing range frame is used.
 DENSE_ROWS = 50_000
@@ -39,6 +40,11 @@ RECENT = ["txn_count_recent", "amt_sum_recent"]
 _AT = "_micros"
 
 
+def _exact(amount: Column) -> Column:
+    """The amount for sums that must not depend on their order; NaN counts as missing."""
+    return F.when(~F.isnan(amount), amount).cast("decimal(28,8)")
+
+
 def _past_frame(*partition: str, order: list[str]) -> Window:
     return (
         Window.partitionBy(*partition).orderBy(*order)
@@ -57,7 +63,7 @@ def _by_card(df: DataFrame, key: str, time: str, tie: str, span: int) -> DataFra
             "avg_amt_expanding": F.avg(amount).over(past),
             "stddev_amt_expanding": F.stddev_samp(amount).over(past),
             "txn_count_recent": F.count(amount).over(recent).cast("double"),
-            "amt_sum_recent": F.coalesce(F.sum(amount).over(recent), F.lit(0.0)),
+            "amt_sum_recent": F.coalesce(F.sum(_exact(amount)).over(recent).cast("double"), F.lit(0.0)),
         }
     )
 
@@ -82,7 +88,7 @@ def _by_period(
         F.col("_is_row") == 1,
         F.struct("lat", "long", F.col(time).alias("at"), F.col(_AT).alias("us")),
     )
-    signed = F.col("_enters") * amount
+    signed = F.when(F.col("_enters") == 1, _exact(amount)).otherwise(-_exact(amount))
     signed_count = F.when(amount.isNotNull(), F.col("_enters"))
 
     # Totals of each period of a cut card, and of all its earlier periods. The number of
@@ -124,6 +130,7 @@ def _by_period(
         )
     )
 
+    nothing = F.lit(0).cast("decimal(38,8)")
     part = [key, "_period"]
     past = _past_frame(*part, order=[_AT, "_is_row", tie])
     before = Window.partitionBy(*part).orderBy(_AT).rangeBetween(Window.unboundedPreceding, -1)
@@ -136,7 +143,7 @@ def _by_period(
             "w_low": F.min(own).over(past),
             "w_high": F.max(own).over(past),
             "w_inside_n": F.coalesce(F.sum(signed_count).over(before), F.lit(0)),
-            "w_inside_sum": F.coalesce(F.sum(signed).over(before), F.lit(0.0)),
+            "w_inside_sum": F.coalesce(F.sum(signed).over(before), nothing),
         }
     ).where("_is_row = 1")
 
@@ -158,7 +165,7 @@ def _by_period(
         .otherwise(F.sqrt(F.greatest(m2, F.lit(0.0)) / F.nullif(n - 1, zero)))
     )
     inside_n = F.coalesce("c_inside_n", zero) + F.col("w_inside_n")
-    inside_sum = F.coalesce("c_inside_sum", F.lit(0.0)) + F.col("w_inside_sum")
+    inside_sum = (F.coalesce("c_inside_sum", nothing) + F.col("w_inside_sum")).cast("double")
     return (
         inside.join(carried, part, "left")
         .withColumns(
@@ -174,11 +181,11 @@ def _by_period(
     )
 
 
-def _period(profile: KeyProfile, threshold: int, period: str | None) -> int:
-    """Period length that leaves about ``threshold`` rows of the largest card in each."""
+def _period(profile: KeyProfile, rows: int, period: str | None) -> int:
+    """Period length that leaves about ``rows`` rows of the largest card in each."""
     if period is not None:
         return C.window_micros(period)
-    even = profile.span * max(threshold, 1) // max(profile.max_rows, 1)
+    even = profile.span * max(rows, 1) // max(profile.max_rows, 1)
     return max(SHORTEST_PERIOD, min(LONGEST_PERIOD, even))
 
 
@@ -194,17 +201,23 @@ def card_windows(
 ) -> DataFrame:
     """Previous position and time, expanding mean and spread, trailing count and sum.
 
-    ``tie`` orders the rows of one instant. The layout follows the measured size of the
-    largest card; it changes the plan, never the values.
+    ``tie`` orders the rows of one instant. Cards are counted once, and the counts written, so
+    that both the choice of layouts and the choice of cards read them. While no card is
+    dense there is one layout; otherwise only the dense cards take the second one.
     """
     span = C.window_micros(window)
     profile = KeyProfile.measure(df, key, micros(time))
     if profile.max_rows <= dense_rows:
         found = _by_card(df, key, time, tie, span)
     else:
-        threshold = hot_threshold(profile.rows, hot_rows)
-        hot = hot_keys(df, key, threshold)
-        found = _by_period(df, key, time, tie, span, hot, _period(profile, threshold, period))
+        dense = profile.keys.where(F.col("n") > dense_rows).select(key, (F.col("n") > hot_rows).alias("_hot"))
+        dense = broadcast_if_small(materialize(dense))
+        found = _by_period(
+            df.join(dense.select(key), key, "left_semi"), key, time, tie, span,
+            dense.where("_hot").select(key), _period(profile, hot_rows, period),
+        ).unionByName(
+            _by_card(df.join(dense.select(key), key, "left_anti"), key, time, tie, span)
+        )
     return found.withColumns(
         {
             "prev_lat": F.col("_previous.lat"),

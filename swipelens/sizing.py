@@ -7,25 +7,35 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A lookup side up to this many rows is broadcast; a larger one is joined by shuffle.
+from swipelens.session import materialize
+
+#: A lookup side up to this many rows and bytes is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
-#: At most this many keys can each hold more than 1/HOT_SHARE of all rows.
-HOT_SHARE = 10_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when a count proves the side small.
+def _bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: lengths of what varies, eight for anything else."""
+    total = F.lit(8)
+    for field in df.schema:
+        kind, column = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "varchar", "char", "binary"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            total = total + 8
+    return total
 
-    Beyond the bound the frame is returned as it is: Spark then shuffles both sides and
-    splits hot keys at run time.
-    """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when a count of rows and bytes proves the side small.
 
-def hot_threshold(rows: int, min_rows: int) -> int:
-    """A key with more rows than this is hot. At most HOT_SHARE keys can be."""
-    return max(min_rows, rows // HOT_SHARE)
+    Beyond the bounds the frame is returned as it is: Spark then shuffles both sides and
+    splits hot keys at run time.
+    """
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_bytes(df).cast("bigint"))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 @dataclass(frozen=True)
@@ -35,25 +45,19 @@ class KeyProfile:
     rows: int
     max_rows: int
     span: int
+    #: Columns: the key, ``n`` rows, ``lo`` and ``hi`` of the order column.
+    keys: DataFrame
 
     @classmethod
     def measure(cls, df: DataFrame, key: str, at: Column) -> "KeyProfile":
         """One pass over key and order column; ``at`` is a number such as microseconds."""
-        per_key = df.select(key, at.alias("_at")).groupBy(key).agg(
-            F.count(F.lit(1)).alias("n"), F.min("_at").alias("lo"), F.max("_at").alias("hi")
+        per_key = materialize(
+            df.select(key, at.alias("_at")).groupBy(key).agg(
+                F.count(F.lit(1)).alias("n"), F.min("_at").alias("lo"), F.max("_at").alias("hi")
+            )
         )
         row = per_key.agg(
             F.sum("n").alias("rows"), F.max("n").alias("max_rows"),
             (F.max("hi") - F.min("lo")).alias("span"),
         ).first()
-        return cls(int(row["rows"] or 0), int(row["max_rows"] or 0), int(row["span"] or 0))
-
-
-def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys above ``hot_threshold`` rows as a local table, small enough to broadcast."""
-    found = (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > threshold)
-        .select(key).collect()
-    )
-    schema = df.select(key).schema
-    return F.broadcast(df.sparkSession.createDataFrame([(r[0],) for r in found], schema))
+        return cls(int(row["rows"] or 0), int(row["max_rows"] or 0), int(row["span"] or 0), per_key)

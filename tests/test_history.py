@@ -22,17 +22,21 @@ def by_id(df, columns=CHECKED):
 
 @pytest.mark.parametrize("layout", LAYOUTS)
 def test_future_does_not_reach_the_past(card, layout):
-    def history(third):
+    def history(last):
         return by_id(history_features(card([
-            ("2020-01-01 08:00:00", 10.0), ("2020-01-02 08:00:00", 20.0), ("2020-01-03 08:00:00", third),
+            ("2021-06-10 21:15:00", 42.5), ("2021-06-11 21:15:00", 8.25),
+            ("2021-06-11 23:45:00", 17.0), ("2021-06-13 04:00:00", last),
         ]), **layout))
 
-    base, altered = history(30.0), history(99999.0)
-    assert [base[k] for k in ("txn_0", "txn_1")] == [altered[k] for k in ("txn_0", "txn_1")]
+    base, altered = history(3.75), history(1e7)
+    earlier = ["txn_0", "txn_1", "txn_2"]
+    assert [base[k] for k in earlier] == [altered[k] for k in earlier]
+    assert base["txn_3"] != altered["txn_3"]
     mean, std, count, total, z, _, gap = base["txn_0"]
     assert (mean, std, z, count, total, gap) == (None, None, 0.0, 0.0, 0.0, None)
-    # Exactly 24 hours back still counts.
-    assert base["txn_1"][:4] == (10.0, None, 1.0, 10.0)
+    # Exactly 24 hours back still counts; 26.5 hours back does not.
+    assert base["txn_1"][:4] == (42.5, None, 1.0, 42.5)
+    assert base["txn_2"][2:4] == (1.0, 8.25)
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -94,6 +98,31 @@ def test_layouts_agree_with_brute_force(spark, card):
                 assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, abs=1e-8)), (layout, k)
 
 
+def trailing(spark, amounts, **layout):
+    """Rows of one card, an hour apart, and of a small card beside it."""
+    import datetime as dt
+
+    start = dt.datetime(2022, 3, 1)
+    rows = [(f"r{i:06d}", "big", start + dt.timedelta(hours=i * 24 / 28), a) for i, a in enumerate(amounts)]
+    rows += [(f"s{i}", "small", start + dt.timedelta(hours=7 * i), 0.1 * i) for i in range(9)]
+    df = spark.createDataFrame(rows, f"trans_num STRING, {C.KEY} STRING, {C.TIME} TIMESTAMP, {C.AMOUNT} DOUBLE")
+    df = df.withColumns({"lat": F.lit(1.0), "long": F.lit(2.0)})
+    return by_id(H.card_windows(df, **layout), H.RECENT)
+
+
+@pytest.mark.parametrize("layout", [{"dense_rows": 20}, {"dense_rows": 20, "hot_rows": 10, "period": "5h"}])
+def test_a_large_amount_leaves_the_window_without_a_trace(spark, layout):
+    amounts = [0.1 * (1 + i % 7) for i in range(120)]
+    amounts[3] = 1e12
+    assert trailing(spark, amounts, **layout) == trailing(spark, amounts)
+
+
+def test_many_amounts_sum_alike_in_both_layouts(spark):
+    rng = random.Random(11)
+    amounts = [round(rng.random() * 900, 2) for _ in range(20_000)]
+    assert trailing(spark, amounts, dense_rows=100, hot_rows=5_000) == trailing(spark, amounts)
+
+
 def test_feature_table_keeps_rows_and_columns(txn):
     found = feature_engineering(txn)
     assert found.count() == txn.count()
