@@ -91,7 +91,7 @@ def one_hot_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]
         values = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
         rows = values.orderBy("v").limit(ONE_HOT_LIMIT + 1).collect()
         if len(rows) > ONE_HOT_LIMIT:
-            raise ValueError(f"{column} has over {ONE_HOT_LIMIT} categories: use one_hot_vector")
+            raise ValueError(f"{column} has over {ONE_HOT_LIMIT} categories: name it in sparse instead")
         found[column] = [r["v"] for r in rows]
     return found
 
@@ -137,16 +137,26 @@ def standard_scale(
 class FeatureEncoderModel(Model):
     """Imputed and scaled numbers, pass-through numbers, 0/1 columns, target encodings."""
 
-    def __init__(self, roles: dict, numeric: dict, categories: dict, targets: TargetEncoderModel):
+    def __init__(
+        self, roles: dict, numeric: dict, categories: dict, targets: TargetEncoderModel,
+        sparse: dict[str, PipelineModel] | None = None,
+    ):
         super().__init__()
         self.roles, self.numeric, self.categories, self.targets = roles, numeric, categories, targets
+        self.sparse = sparse or {}
 
-    def feature_names(self) -> list[str]:
+    def dense_names(self) -> list[str]:
         return (
             self.roles["scaled"] + self.roles["passthrough"] + list(one_hot(self.categories))
             + self.targets.names()
         )
 
+    def feature_names(self) -> list[str]:
+        """Names of the vector's places; those of the sparse columns come last."""
+        return self.dense_names() + [
+            f"{column}_{label}" for column, model in self.sparse.items() for label in model.stages[0].labels
+        ]
+
     def encode(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """The model matrix as columns, in the fixed order; every other column is dropped.
 
@@ -154,6 +164,8 @@ class FeatureEncoderModel(Model):
         """
         carried = {f"_keep_{c}": F.col(c) for c in keep or []}
         rows = self.targets.transform(df.withColumns(carried) if carried else df)
+        for model in self.sparse.values():
+            rows = model.transform(rows)
         scaled = {
             c: ((F.coalesce(F.col(c).cast("double"), F.lit(v["median"])) - F.lit(v["mean"])) / F.lit(v["std"]))
             for c, v in self.numeric.items()
@@ -162,12 +174,14 @@ class FeatureEncoderModel(Model):
         columns += [F.col(c).cast("double").alias(c) for c in self.roles["passthrough"]]
         columns += [v.alias(n) for n, v in one_hot(self.categories).items()]
         columns += [F.col(n) for n in self.targets.names()]
+        columns += [F.col(f"{c}_onehot") for c in self.sparse]
         return rows.select(*[F.col(f"_keep_{c}").alias(c) for c in keep or []], *columns)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         """Identifier, target and amount columns if present, plus the ``features`` vector."""
         keep = [c for c in self.roles["keep"] if c in df.columns and c not in self.feature_names()]
-        assembler = VectorAssembler(inputCols=self.feature_names(), outputCol="features", handleInvalid="keep")
+        inputs = self.dense_names() + [f"{c}_onehot" for c in self.sparse]
+        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
         return assembler.transform(self.encode(df, keep)).select(*keep, "features")
 
     def save(self, path: str) -> None:
@@ -180,17 +194,24 @@ class FeatureEncoderModel(Model):
             }
         )
         spark.createDataFrame([(state,)], "state STRING").write.mode("overwrite").parquet(f"{path}/state")
+        for column, model in self.sparse.items():
+            model.write().overwrite().save(f"{path}/sparse/{column}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FeatureEncoderModel":
         state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
         table = spark.read.parquet(f"{path}/targets")
         targets = TargetEncoderModel(state["columns"], table, state["global_mean"])
-        return cls(state["roles"], state["numeric"], state["categories"], targets)
+        sparse = {c: PipelineModel.load(f"{path}/sparse/{c}") for c in state["roles"].get("sparse", [])}
+        return cls(state["roles"], state["numeric"], state["categories"], targets, sparse)
 
 
 class FeatureEncoder(Estimator):
-    """Fits all encoders on training rows; usable as a stage of a Spark ML Pipeline."""
+    """Fits all encoders on training rows; usable as a stage of a Spark ML Pipeline.
+
+    Columns in ``onehot`` become one 0/1 column per category, up to ``ONE_HOT_LIMIT``; those in
+    ``sparse`` become one sparse vector each, with any number of categories.
+    """
 
     def __init__(
         self,
@@ -198,6 +219,7 @@ class FeatureEncoder(Estimator):
         passthrough: list[str] | None = None,
         onehot: list[str] | None = None,
         encoded: list[str] | None = None,
+        sparse: list[str] | None = None,
         target: str = C.TARGET,
         keep: list[str] | None = None,
         smoothing: float = C.ENCODING_SMOOTHING,
@@ -209,6 +231,7 @@ class FeatureEncoder(Estimator):
             "passthrough": C.PASSTHROUGH_COLUMNS if passthrough is None else passthrough,
             "onehot": C.ONE_HOT_COLUMNS if onehot is None else onehot,
             "encoded": C.TARGET_ENCODED_COLUMNS if encoded is None else encoded,
+            "sparse": sparse or [],
             "keep": [C.ROW_ID, target, C.AMOUNT] if keep is None else keep,
         }
         self.target = target
@@ -220,7 +243,8 @@ class FeatureEncoder(Estimator):
         stats = scale_statistics(median_impute(df.select(*scaled), middle), scaled) if scaled else {}
         numeric = {c: {"median": middle[c], "mean": stats[c][0], "std": stats[c][1]} for c in scaled}
         categories = one_hot_categories(df, self.roles["onehot"])
-        return FeatureEncoderModel(self.roles, numeric, categories, self.targets.fit(df, self.target))
+        sparse = {c: one_hot_vector(df, c, f"{c}_onehot") for c in self.roles["sparse"]}
+        return FeatureEncoderModel(self.roles, numeric, categories, self.targets.fit(df, self.target), sparse)
 
 
 def out_of_fold_encode(

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from swipelens import config as C
 from swipelens.functions.scalars import correlation
-from swipelens.operators.ordering import running_totals
+from swipelens.operators.ordering import running_totals, with_position
 from swipelens.operators.quality import unpivot, value_counts
 from swipelens.operators.quantiles import exact_quantiles, quantile_values
+from swipelens.session import materialize
 from swipelens.sizing import broadcast_if_small
 
 # Labels of the category report.
@@ -30,7 +31,7 @@ def amount_by_class(df: DataFrame, target: str = C.TARGET, amount: str = C.AMOUN
     middle = exact_quantiles(df, [amount], [0.5], by=[target]).select(
         target, F.col("quantile").alias("median_amt")
     )
-    return means.join(F.broadcast(middle), target)
+    return means.join(broadcast_if_small(middle), target)
 
 
 def fraud_value_share(*parts: DataFrame, target: str = C.TARGET, amount: str = C.AMOUNT) -> DataFrame:
@@ -237,47 +238,59 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-#: Kendall's tau-b is offered for columns with at most this many distinct values.
-KENDALL_LEVELS = 400
-
-
 def kendall_tau_b(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Kendall's tau-b of two low-cardinality columns.
+    """Kendall's tau-b of two columns with any number of distinct values.
 
-    Rows are reduced to cell counts. Concordant partners of a cell are read from running
-    sums over x of one column per y level, so no pair of cells is ever formed.
+    Rows are reduced to cell counts. Two cells whose y differ agree on their higher rank bits
+    and part at one bit, so the pairs of each bit are counted apart: inside the cells with
+    equal higher bits, those with the bit set meet those without it on smaller x and on
+    larger x. Running sums over one range-partitioned sort give both; no pair is formed, and
+    the plan does not grow with the values.
     """
-    cells = (
+    cells = materialize(
         df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
     )
-    size = cells.agg(F.count_distinct("_x").alias("x"), F.count_distinct("_y").alias("y")).first()
-    if max(size["x"], size["y"]) > KENDALL_LEVELS:
-        raise ValueError(f"kendall_tau_b needs at most {KENDALL_LEVELS} distinct values per column")
-    levels = [r["_y"] for r in cells.select("_y").distinct().orderBy("_y").collect()]
-    names = [f"_c{i}" for i in range(len(levels))]
-    grid = cells.groupBy("_x").agg(
-        *[F.sum(F.when(F.col("_y") == v, F.col("_n")).otherwise(0)).alias(n) for v, n in zip(levels, names)]
+    ranked = with_position(cells.select("_y").distinct(), "_y", name="_rank")
+    bits = max(1, (cells.select("_y").distinct().count() - 1).bit_length())
+    by_bit = (
+        cells.join(broadcast_if_small(ranked), "_y")
+        .withColumn("_bit", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))))
+        .groupBy("_bit", F.expr("shiftright(_rank, _bit + 1)").alias("_high"), "_x").agg(
+            F.sum(F.when(F.expr("shiftright(_rank, _bit) & 1") == 0, F.col("_n")).otherwise(0)).alias("_zeros"),
+            F.sum(F.when(F.expr("shiftright(_rank, _bit) & 1") == 1, F.col("_n")).otherwise(0)).alias("_ones"),
+        )
     )
-    # At most KENDALL_LEVELS rows.
-    smaller = Window.orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-    grid = grid.withColumns(
-        {f"_s{n}": F.coalesce(F.sum(n).over(smaller), F.lit(0)) for n in names}
+    group = ["_bit", "_high"]
+    by_bit = materialize(by_bit)
+    starts = running_totals(by_bit.groupBy(*group).agg(F.sum("_zeros").alias("_all")), group, {"_end": "_all"})
+    summed = running_totals(by_bit, [*group, "_x"], {"_through": "_zeros"}).join(broadcast_if_small(starts), group)
+    big = "decimal(19,0)"
+    # Zeros on smaller x less zeros on larger x, within the group.
+    before = F.col("_through") - F.col("_zeros") - (F.col("_end") - F.col("_all"))
+    net = 2 * before + F.col("_zeros") - F.col("_all")
+
+    def pairs(n: str) -> Column:
+        return F.sum(F.col(n).cast(big) * (F.col(n) - 1).cast(big)) / 2
+
+    balance = summed.agg(F.sum(F.col("_ones").cast(big) * net.cast(big)).alias("_balance"))
+    parts = [
+        balance,
+        cells.agg(F.sum("_n").alias("_n")).agg(pairs("_n").alias("_every")),
+        cells.groupBy("_x").agg(F.sum("_n").alias("_n")).agg(pairs("_n").alias("_tied_x")),
+        cells.groupBy("_y").agg(F.sum("_n").alias("_n")).agg(pairs("_n").alias("_tied_y")),
+    ]
+    # Four one-row tables, put side by side by adding up their columns.
+    names = ["_balance", "_every", "_tied_x", "_tied_y"]
+    lined = reduce(
+        DataFrame.unionByName,
+        [part.select(*[(F.col(n) if n == own else F.lit(None)).cast("double").alias(n) for n in names]) for own, part in zip(names, parts)],
     )
-
-    def total(columns: list[Column]) -> Column:
-        return F.aggregate(F.array(F.lit(0).cast("bigint"), *columns), F.lit(0).cast("bigint"), lambda a, b: a + b)
-
-    concordant = [F.col(n) * total([F.col(f"_s{m}") for m in names[:i]]) for i, n in enumerate(names)]
-    discordant = [F.col(n) * total([F.col(f"_s{m}") for m in names[i + 1:]]) for i, n in enumerate(names)]
-    rows = F.sum(total([F.col(n) for n in names]))
-    tied_x = F.sum(total([F.col(n) for n in names]) * (total([F.col(n) for n in names]) - 1) / 2)
-    tied_y = sum((F.sum(n) * (F.sum(n) - 1) / 2 for n in names), F.lit(0.0))
-    every = rows * (rows - 1) / 2
-    return grid.agg(
+    sums = {n: F.sum(n) for n in names}
+    return lined.agg(
         (
-            F.sum(total(concordant) - total(discordant))
-            / F.nullif(F.sqrt((every - tied_x) * (every - tied_y)), F.lit(0.0))
+            sums["_balance"]
+            / F.nullif(F.sqrt((sums["_every"] - sums["_tied_x"]) * (sums["_every"] - sums["_tied_y"])), F.lit(0.0))
         ).alias("kendall_tau_b")
     )
 

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from swipelens import config as C
 from swipelens.functions.scalars import micros
-from swipelens.operators.ordering import precedes, rows_at
+from swipelens.operators.ordering import precedes, rows_at, with_position
+from swipelens.session import materialize
+from swipelens.sizing import broadcast_if_small
 
 #: Hex digits of the digest that form a bucket: 65,536 even buckets.
 DIGEST_PREFIX = 4
 HOUR_MICROS = 3_600_000_000
+#: Up to so many classes a stratified split is one predicate; their sizes reach the driver.
+MAX_STRATA = 1_000
 
 
 def time_order(time: str = C.TIME, tie: str = C.ROW_ID) -> list[Column]:
@@ -113,12 +117,30 @@ def shuffled(df: DataFrame, seed: int = C.SEED, key: str = C.ROW_ID) -> DataFram
     return df.orderBy(*_digest_order(seed, key))
 
 
+def _numbered_split(df: DataFrame, test_fraction: float, by: str, order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    numbered = with_position(df, F.col(by).isNull(), F.col(by), *order, name="_place")
+    shares = numbered.groupBy(F.col(by).alias("_by")).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    shares = materialize(shares.withColumn("_cut", F.col("_first") + F.col("_n") - F.ceil(F.col("_n") * test_fraction)))
+    placed = numbered.join(broadcast_if_small(shares), F.col(by).eqNullSafe(F.col("_by")))
+    train = F.col("_place") < F.col("_cut")
+    return tuple(placed.where(side).select(*df.columns) for side in (train, ~train))
+
+
 def stratified_split(
     df: DataFrame, test_fraction: float = 0.2, by: str = C.TARGET, seed: int = C.SEED, key: str = C.ROW_ID
 ) -> tuple[DataFrame, DataFrame]:
-    """Seeded random split with ``ceil(fraction * n)`` test rows inside each class."""
+    """Seeded random split with ``ceil(fraction * n)`` test rows inside each class.
+
+    Up to ``MAX_STRATA`` classes the split is a predicate on the rows. With more, rows are
+    numbered by one range-partitioned sort over (class, digest) and compared with their
+    class's share; the result is the same.
+    """
     order = _digest_order(seed, key)
-    sizes = {(r[0],): r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
+    strata = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    counted = strata.limit(MAX_STRATA + 1).collect()
+    if len(counted) > MAX_STRATA:
+        return _numbered_split(df, test_fraction, by, order)
+    sizes = {(r[0],): r["n"] for r in counted}
     kept = {g: n - math.ceil(n * test_fraction) for g, n in sizes.items()}
     cuts = rows_at(df, F.substring(order[0], 1, DIGEST_PREFIX), order, {g: [k] for g, k in kept.items()}, [by])
     train = F.lit(False)

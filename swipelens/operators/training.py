@@ -232,19 +232,21 @@ def param_search(
         ))
     combos = sample_grid(grid, trials, seed)
     results = []
-    for number, params in enumerate(combos):
-        found = []
-        for fit_rows, held_out in prepared:
-            scored = score_rows(train(fit_rows, name, target, strategy, seed, **params), held_out, target)
-            # Either measure reads the scores once.
-            if score == "f1":
-                found.append(classification_metrics(scored, inclusive=False).first()["f1"])
-            else:
-                found.append(rank_metrics(scored).first()["average_precision"] or 0.0)
-        results.append((number, sum(found) / len(found), *[str(params[k]) for k in grid]))
-    for pair in prepared:
-        for part in pair:
-            part.unpersist()
+    try:
+        for number, params in enumerate(combos):
+            found = []
+            for fit_rows, held_out in prepared:
+                scored = score_rows(train(fit_rows, name, target, strategy, seed, **params), held_out, target)
+                # Either measure reads the scores once.
+                if score == "f1":
+                    found.append(classification_metrics(scored, inclusive=False).first()["f1"])
+                else:
+                    found.append(rank_metrics(scored).first()["average_precision"] or 0.0)
+            results.append((number, sum(found) / len(found), *[str(params[k]) for k in grid]))
+    finally:
+        for pair in prepared:
+            for part in pair:
+                part.unpersist()
     spark = splits[0][0].sparkSession
     schema = ", ".join(["trial INT", f"{score} DOUBLE", *[f"{k} STRING" for k in grid]])
     table = spark.createDataFrame(results, schema).orderBy(F.desc(score), "trial")

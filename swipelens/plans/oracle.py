@@ -214,17 +214,14 @@ def oracle_sql() -> dict[str, str]:
     q["parquet_roundtrip"] = txn + f"select {raw} from txn"
     rate = r("avg(is_fraud) * 100", "fraud_rate_pct")
     q["report_sink"] = txn + f"select state, count(*) as n, {rate} from txn group by 1"
-    q["model_matrix"] = rowf + (
-        f"select {r('amt_log', 'amt_log')}, {r('city_pop_log', 'city_pop_log')}, {r('distance_km', 'distance_km')},"
-        f" {r('hour_sin', 'hour_sin')}, {big('first_digit', 'first_digit')}, {big('last_digit', 'last_digit')},"
-        f" {big('is_fraud', 'is_fraud')} from rowf"
-    )
+    text = ["gender", *ENCODED_COLUMNS]
+    numbers = [r(c, c) for c in [*SCALED, *PASSED_FLOAT] if c != "idade"]
+    whole = [big(c, c) for c in ["idade", *PASSED_INT, "is_fraud"]]
+    features = with_(TXN, windows(), rows_cte()) + f"select {', '.join([*text, *numbers, *whole])} from feat"
+    q["model_matrix"] = features
 
     # Projection, filters, quality
-    q["select_roles"] = rowf + (
-        f"select {big('is_fraud', 'is_fraud')}, gender, job, city, state, category, merchant,"
-        f" {r('amt_log', 'amt_log')}, {big('month', 'month')} from rowf"
-    )
+    q["select_roles"] = features
     q["class_filter"] = txn + (
         f"select {big('is_fraud', 'is_fraud')}, {r('avg(amt)', 'mean_amt')}, {r('median(amt)', 'median_amt')}"
         " from txn group by is_fraud"
@@ -244,21 +241,33 @@ def oracle_sql() -> dict[str, str]:
         f" count(*) filter (where not regexp_full_match({c}, '[0-9]+')) as n_non_numeric from txn"
         for c, n in (("cc_num", 3), ("trans_num", 4), ("merchant", 8))
     )
-    profiled = [
-        "trans_num", "cc_num", "category", "merchant", "gender", "job", "state", "city", "city_pop", "dob",
-        "is_fraud", "time_diff_hours", "prev_lat",
-    ]
+    profiled = {
+        "trans_num": "string", "cc_num": "string", "trans_date_trans_time": "timestamp_ntz", "amt": "double",
+        "category": "string", "merchant": "string", "gender": "string", "job": "string", "state": "string",
+        "city": "string", "city_pop": "bigint", "dob": "date", "lat": "double", "long": "double",
+        "merch_lat": "double", "merch_long": "double", "is_fraud": "int", "time_diff_hours": "double",
+        "prev_lat": "double",
+    }
     q["column_profile"] = hist + " union all ".join(
-        f"select '{c}' as \"column\", count(*) - count({c}) as n_null,"
+        f"select '{c}' as \"column\", '{kind}' as column_type, count(*) - count({c}) as n_null,"
         f" {r(f'(count(*) - count({c})) * 100.0::double / count(*)', 'pct_null')},"
-        f" count(distinct cast({c} as varchar)) as n_unique from hist"
-        for c in profiled
+        f" count(distinct {c}) as n_unique from hist"
+        for c, kind in profiled.items()
     )
+    raw_columns = [c for c in profiled if c not in ("time_diff_hours", "prev_lat")]
     q["duplicate_rows"] = txn + (
-        f"select {big('sum(n)', 'n_rows')}, {big('3', 'n_columns')}, {big('sum(n - 1)', 'n_duplicates')},"
+        f"select {big('sum(n)', 'n_rows')}, {big(str(len(raw_columns)), 'n_columns')}, {big('sum(n - 1)', 'n_duplicates')},"
         f" {r('sum(n - 1) * 100.0::double / sum(n)', 'pct_duplicates')}"
-        " from (select count(*) as n from txn group by cc_num, category, merchant)"
+        f" from (select count(*) as n from txn group by {', '.join(raw_columns)})"
     )
+    always = [
+        "distance_km", "first_digit", "last_digit", "amt_log", "city_pop_log",
+        "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month",
+    ]
+    checks = [f"select 'present:{c}' as \"check\", 1::bigint as passed" for c in [*text, *SCALED, *PASSED_FLOAT, *PASSED_INT]]
+    checks += [f"select 'not_null:{c}', cast(count(*) = count({c}) as bigint) from feat" for c in always]
+    checks.append("select 'row_count', cast(count(*) = (select count(*) from events) as bigint) from feat")
+    q["required_columns"] = with_(TXN, windows(), rows_cte()) + " union all ".join(checks)
     q["date_filter"] = txn + (
         f"select trans_num, {r('amt', 'amt')} from txn where trans_date_trans_time >= timestamp '2024-01-20'"
     )

@@ -118,8 +118,7 @@ def _(txn):
 @query("model_matrix")
 def _(txn):
     path = new_path(txn.sparkSession)
-    names = ["amt_log", "city_pop_log", "distance_km", "hour_sin", "first_digit", "last_digit"]
-    IO.save_matrix(row_features(txn), path, names, C.TARGET)
+    IO.save_matrix(feature_engineering(txn), path, C.FEATURE_COLUMNS, C.TARGET)
     rows, features = IO.load_matrix(txn.sparkSession, path)
     return rows.select(*features, C.TARGET)
 
@@ -129,7 +128,7 @@ def _(txn):
 
 @query("select_roles")
 def _(txn):
-    return row_features(txn).select(C.TARGET, *C.ONE_HOT_COLUMNS, *C.TARGET_ENCODED_COLUMNS, "amt_log", "month")
+    return feature_engineering(txn).select(C.TARGET, *C.FEATURE_COLUMNS)
 
 
 @query("class_filter")
@@ -166,13 +165,12 @@ def _(txn):
 
 @query("column_profile")
 def _(txn):
-    wide = history_features(txn).select(*txn.columns, "time_diff_hours", "prev_lat")
-    return Q.column_profile(wide.drop(C.TIME, "amt", "lat", "long", "merch_lat", "merch_long")).drop("column_type")
+    return Q.column_profile(history_features(txn).select(*txn.columns, "time_diff_hours", "prev_lat"))
 
 
 @query("duplicate_rows")
 def _(txn):
-    return Q.duplicate_rows(txn.select(C.KEY, "category", "merchant"))
+    return Q.duplicate_rows(txn)
 
 
 @query("required_columns")

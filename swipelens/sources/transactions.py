@@ -80,7 +80,10 @@ def save_parquet(df: DataFrame, path: str) -> None:
 
 
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A saved table. As on ingest from CSV, NaN is read as missing."""
+    rows = spark.read.parquet(path)
+    floats = [f.name for f in rows.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return rows.withColumns({name: nan_to_null(name) for name in floats}) if floats else rows
 
 
 def save_report(df: DataFrame, path: str) -> None:

@@ -35,16 +35,17 @@ SCHEMA = (
 )
 
 
-def transaction(i, when, amt, card="1111"):
-    return (
-        f"txn_{i}", card, dt.datetime.fromisoformat(when), amt, 35.0 + i * 0.01, -80.0 - i * 0.01,
-        35.1, -80.1, 5000, dt.date(1990, 1, 1), 0,
-    )
-
-
 @pytest.fixture(scope="session")
 def card(spark):
+    """Transactions from (time, amount[, card]) rows; the customer moves north-east, row by row."""
     def build(rows):
-        return spark.createDataFrame([transaction(i, *row) for i, row in enumerate(rows)], SCHEMA)
+        made = []
+        for number, (when, amount, *which) in enumerate(rows):
+            here, shop = (48.0 + number / 50, 2.0 + number / 20), (48.25, 2.5)
+            made.append((
+                f"txn_{number}", which[0] if which else "c-7", dt.datetime.fromisoformat(when), amount,
+                *here, *shop, 12_000 + number, dt.date(1975, 11, 30), number % 2,
+            ))
+        return spark.createDataFrame(made, SCHEMA)
 
     return build

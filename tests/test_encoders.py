@@ -95,3 +95,24 @@ def test_out_of_fold_rows_do_not_see_themselves(spark):
     got = E.out_of_fold_encode(rows, 3, E.SmoothedTargetEncoder(["job"]))
     assert got.count() == 60
     assert got.where("job = 'only'").first()["job_target_enc"] == 0.0
+
+
+def test_sparse_columns_take_any_number_of_categories(spark):
+    from swipelens.session import new_path
+
+    rows = [(f"k{i % 5000:04d}", "a" if i % 3 else "b", i % 2) for i in range(6000)]
+    df = jobs(spark, rows)
+    other = [c for c in df.columns if c not in ("job",)]
+    encoder = E.FeatureEncoder(scaled=[], passthrough=[], onehot=[], encoded=[other[0]], sparse=["job"], target=df.columns[-1], keep=[])
+    fitted = encoder.fit(df)
+    names = fitted.feature_names()
+    assert len(names) == 1 + df.select("job").distinct().count() and names[1].startswith("job_")
+    vector = fitted.transform(df.limit(1)).first()["features"]
+    assert vector.size == len(names) and vector.toArray()[1:].sum() == 1.0
+    path = new_path(spark)
+    fitted.save(path)
+    again = E.FeatureEncoderModel.load(spark, path)
+    assert again.feature_names() == names
+    assert again.transform(df.limit(1)).first()["features"] == vector
+    unseen = fitted.transform(jobs(spark, [("new", "a", 1)])).first()["features"]
+    assert unseen.toArray()[1:].sum() == 0.0

@@ -28,8 +28,20 @@ def test_rank_correlations(pairs):
     dx, dy = (np.sign(np.subtract.outer(v, v)) for v in (x, y))
     tau = (dx * dy).sum() / math.sqrt((dx * dx).sum() * (dy * dy).sum())
     assert P.kendall_tau_b(df, "x", "y").first()[0] == pytest.approx(tau)
-    with pytest.raises(ValueError):
-        P.kendall_tau_b(df.sparkSession.range(500).selectExpr("id as a", "id % 3 as b"), "a", "b")
+
+
+def test_kendall_with_many_levels_ties_and_missing(spark):
+    rng = random.Random(6)
+    rows = [(rng.gauss(0, 1), rng.randrange(900)) for _ in range(1500)]
+    rows = [(x, y + int(200 * x)) for x, y in rows] + rows[:80]
+    x, y = (np.array(c, dtype=float) for c in zip(*rows))
+    dx, dy = (np.sign(np.subtract.outer(v, v)) for v in (x, y))
+    tau = (dx * dy).sum() / math.sqrt((dx * dx).sum() * (dy * dy).sum())
+    df = spark.createDataFrame([*rows, (None, 3), (1.0, None)], "x DOUBLE, y INT")
+    assert df.select("y").distinct().count() > 500
+    assert P.kendall_tau_b(df, "x", "y").first()[0] == pytest.approx(tau)
+    assert P.kendall_tau_b(df.where("y = 3"), "x", "y").first()[0] is None
+    assert P.kendall_tau_b(df.limit(0), "x", "y").first()[0] is None
 
 
 def test_correlations_with_missing_values(spark):

@@ -22,38 +22,49 @@ def ages(spark, pairs):
 
 
 def test_leading_digit(spark):
-    values = [0.99, 0.05, 0.5, 45.67, 100.0, 999.99, 1.0, 0.0, -3.0, 0.30, 0.60, 0.70, 9.996, 1e10, 0.004, None]
-    assert column(spark, values, S.leading_digit) == [9, 5, 5, 4, 1, 9, 1, 0, 0, 3, 6, 7, 9, 1, 4, None]
+    # Amounts and digits that the operator is defined by.
+    fixed = {0.99: 9, 0.05: 5, 45.67: 4, 100.0: 1, 0.0: 0}
+    assert column(spark, list(fixed), S.leading_digit) == list(fixed.values())
+    own = {0.08: 8, 23.4: 2, 7000.01: 7, 0.30: 3, 0.60: 6, 0.70: 7, 9.996: 9, 3e10: 3, 0.004: 4, -6.5: 0, None: None}
+    assert column(spark, list(own), S.leading_digit) == list(own.values())
+    powers = [10.0 ** k for k in range(-3, 9)]
+    assert column(spark, powers, S.leading_digit) == [1] * len(powers)
 
 
 def test_last_cents_digit(spark):
-    values = [45.67, 45.5, 45.0, 45.50, -45.67, None]
-    assert column(spark, values, S.last_cents_digit) == [7, 0, 0, 0, 3, None]
+    for cents in range(0, 120, 7):
+        assert column(spark, [12 + cents / 100], S.last_cents_digit) == [cents % 10]
+    assert column(spark, [8.1, 8.0, -8.13, None], S.last_cents_digit) == [0, 0, 7, None]
 
 
 def test_age_counts_birthdays(spark):
-    pairs = [
-        ("1990-06-15", "2020-06-14"), ("1990-06-15", "2020-06-15"), ("1988-03-09", "2019-01-01"),
-        ("1988-03-09", "2023-01-01"), ("2020-02-29", "2021-02-28"), (None, "2020-01-01"), ("2020-01-01", None),
-    ]
-    assert ages(spark, pairs) == [29, 30, 30, 34, 0, None, None]
+    born = "1971-10-03"
+    on = {"1971-10-03": 0, "1972-10-02": 0, "1972-10-03": 1, "2011-10-02": 39, "2011-10-03": 40, "2012-01-31": 40}
+    assert ages(spark, [(born, day) for day in on]) == list(on.values())
+    # Born on a leap day: a year older on 1 March of common years. A missing date has no age.
+    leap = [("2016-02-29", "2017-02-28"), ("2016-02-29", "2017-03-01"), (None, "2001-05-05"), ("2001-05-05", None)]
+    assert ages(spark, leap) == [0, 1, None, None]
 
 
 def test_cyclical_wraps(spark):
-    sines = column(spark, [0.0, 23.0], lambda x: S.cyclical(x, 24)[0])
-    cosines = column(spark, [0.0, 23.0], lambda x: S.cyclical(x, 24)[1])
-    assert math.dist((sines[0], cosines[0]), (sines[1], cosines[1])) < 0.3
+    hours = [float(h) for h in range(24)]
+    points = list(zip(*(column(spark, hours, lambda x, i=i: S.cyclical(x, 24)[i]) for i in (0, 1))))
+    steps = [math.dist(points[h], points[(h + 1) % 24]) for h in range(24)]
+    # Midnight is no further from 23 h than any hour from the next.
+    assert steps == [pytest.approx(2 * math.sin(math.pi / 24))] * 24
 
 
 def test_haversine(spark):
+    # One point; a quarter of the equator; pole to pole; two of anywhere; a missing coordinate.
     points = [
-        (10.0, 20.0, 10.0, 20.0), (40.7128, -74.0060, 34.0522, -118.2437),
-        (10.0, 20.0, 11.0, 21.0), (-5.0, 10.0, -6.0, 11.0), (None, 1.0, 1.0, 1.0),
+        (51.5, -0.1, 51.5, -0.1), (0.0, 15.0, 0.0, 105.0), (90.0, 0.0, -90.0, 0.0),
+        (59.3, 18.1, -33.9, 151.2), (-1.3, 36.8, -1.2, 36.9), (None, 1.0, 1.0, 1.0),
     ]
     rows = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i INT, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
     km = [r["y"] for r in rows.select("i", S.haversine_km("a", "b", "c", "d").alias("y")).orderBy("i").collect()]
-    assert km[0] == 0.0 and 3900 <= km[1] <= 3970 and km[4] is None
-    for (a, b, c, d), got in zip(points[2:4], km[2:4]):
+    quarter = 6371 * math.pi / 2
+    assert km[0] == 0.0 and km[1:3] == pytest.approx([quarter, 2 * quarter]) and km[5] is None
+    for (a, b, c, d), got in zip(points[3:5], km[3:5]):
         a, b, c, d = map(math.radians, (a, b, c, d))
         h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
         assert got == pytest.approx(2 * 6371 * math.asin(math.sqrt(h)))

@@ -67,6 +67,13 @@ def test_stratified_split(txn):
     assert sizes == {k: -(-n // 5) for k, n in whole.items()}
 
 
+def test_stratified_split_of_many_classes_is_the_same(txn, monkeypatch):
+    want = ids(L.stratified_split(txn, 0.3, by="cc_num")[1])
+    monkeypatch.setattr(L, "MAX_STRATA", 3)
+    train, test = L.stratified_split(txn, 0.3, by="cc_num")
+    assert ids(test) == want and ids(train) == ids(txn) - want and test.columns == txn.columns
+
+
 def test_balance_keeps_all_positives(txn):
     pos = txn.where("is_fraud = 1").count()
     got = {r[C.TARGET]: r["count"] for r in L.balance_data(txn, ratio=10).groupBy(C.TARGET).count().collect()}
