@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from swipelens.llm.common import ship, whole
 
-#: Entries that a task remembers per table before it starts anew.
-REMEMBERED = 200_000
+#: Entries per generation that a task remembers in each table.
+REMEMBERED = 300_000
 #: Symbols read at once from a long word, and characters from a long text.
 STEP = 512
 CHUNK = 1 << 16
@@ -64,6 +64,13 @@ SYMBOL_OF_BYTE = byte_symbols()
 BYTE_OF_SYMBOL = {s: b for b, s in SYMBOL_OF_BYTE.items()}
 
 
+def in_symbols(word: str) -> str:
+    """The word's bytes in the symbols of byte-level vocabularies."""
+    if word.isascii() and word.isprintable():
+        return word
+    return "".join([SYMBOL_OF_BYTE[b] for b in word.encode()])
+
+
 class MergeList:
     """Ranked merges over token ids, with the lookahead that makes tokens stable."""
 
@@ -77,6 +84,7 @@ class MergeList:
             if max(born.get(pair[0], -1), born.get(pair[1], -1)) >= rank or born[vocab[a + b]] != rank:
                 raise ValueError("a merge uses a token that only a later merge makes, or makes one twice")
             self.ranks[pair], self.made[pair] = rank, vocab[a + b]
+        self.by_rank, self.none = list(self.made.values()), len(merges)
         self.lookahead, self.longest = self._lookahead(born)
         self.window = self.lookahead + self.longest + STEP
 
@@ -113,21 +121,21 @@ class MergeList:
         """Apply the merges by rank, leftmost first."""
         if len(ids) > 64:
             return self._merge_long(ids)
-        ranks, made = self.ranks, self.made
-        while len(ids) > 1:
-            pairs = list(zip(ids, ids[1:]))
-            best = min(pairs, key=lambda p: ranks.get(p, 1 << 40))
-            if best not in ranks:
+        rank_of, made, none = self.ranks.get, self.by_rank, self.none
+        ids = list(ids)
+        ranks = [rank_of(p, none) for p in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            new, out, i, end = made[best], [], 0, len(ids)
-            while i < end:
-                if i < end - 1 and pairs[i] == best:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(best)
+            new = made[best]
+            ids[i:i + 2] = (new,)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], new), none)
+            if i < len(ranks):
+                ranks[i] = rank_of((new, ids[i + 1]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -172,16 +180,20 @@ class MergeList:
 
 
 class Remembered(dict):
-    """A table of results that starts anew when it is full."""
+    """Results of the keys seen lately: those of this generation and of the one before."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.before = compute, {}
 
     def __missing__(self, key):
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 
@@ -211,6 +223,14 @@ class IncrementalDecoder:
         raw = bytes(BYTE_OF_SYMBOL[c] for c in body if c in BYTE_OF_SYMBOL)
         return self.utf8.decode(raw + (b" " if ends else b""))
 
+    def feed_all(self, ids: list[int]) -> str:
+        """The same for several ids at once."""
+        if not self.joined:
+            return "".join(map(self.feed, ids))
+        before, self.started = self.started, self.started or bool(ids)
+        text = " ".join([self.tokens[i] for i in ids])
+        return " " + text if before and ids else text
+
     def finish(self) -> str:
         return self.utf8.decode(b"", True)
 
@@ -241,9 +261,12 @@ class Codec:
         self.latin = self._latin_pattern() if self._is_known(data) else None
         self.special_ids = frozenset(added.values())
         self.odd = re.compile(f"[\x1c-\x1f]|[^\x00-{chr(LATIN_END - 1)}]")
-        self.word_ids = Remembered(self._word)
-        self.span_ids = Remembered(self._span)
-        self.summaries = Remembered(self._summary)
+        # By spelling: of Latin words as they stand in the text, of others in the model's symbols.
+        self.ids_of = {True: Remembered(self.latin_ids), False: Remembered(self.symbol_ids)}
+        self.summary_of = {
+            True: Remembered(lambda w: self.summarize(self.latin_ids(w))),
+            False: Remembered(lambda w: self.summarize(self.symbol_ids(w))),
+        }
 
     @classmethod
     def of(cls, spec: str) -> "Codec":
@@ -276,52 +299,55 @@ class Codec:
             .replace(r"[\p{L}]", f"[{letters}]").replace(r"[\p{N}]", f"[{digits}]")
         )
 
-    def _word(self, word: str) -> list[int]:
+    def symbol_ids(self, word: str) -> list[int]:
         """Ids of one word of the model, spelled in its symbols."""
-        return list(self.merges.stream(word, self.lengths))
-
-    def _span(self, span: str) -> list[int]:
-        """Ids of a run of text without white space."""
-        if self.latin is None or self.odd.search(span):
-            normal = self.library.normalizer.normalize_str(span) if self.library.normalizer else span
-            words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-        else:
-            words = [
-                w if w.isascii() and w.isprintable() else "".join(SYMBOL_OF_BYTE[b] for b in w.encode())
-                for w in self.latin.findall(span.lower())
-            ]
-        ids: list[int] = []
-        for word in words:
-            ids += self.word_ids[word] if len(word) <= STEP else self._word(word)
-        return ids
+        if len(word) > STEP:
+            return list(self.merges.stream(word, self.lengths))
+        vocab, last = self.merges.vocab, word[-1:] + self.suffix
+        return self.merges.merge([vocab[c] for c in (*word[:-1], last) if c in vocab])
+
+    def latin_ids(self, word: str) -> list[int]:
+        return self.symbol_ids(in_symbols(word))
+
+    def pieces(self, text: str) -> Iterator[int | tuple[bool, list[str]]]:
+        """Ids of added tokens that the text spells out, and between them lists of words.
 
-    def chunks(self, text: str) -> Iterator[int | list[str]]:
-        """Ids of added tokens that the text spells out, and lists of its other runs of text."""
+        Whether the words are Latin ones as they stand comes with each list. Long texts are
+        cut at white space, where no word goes on.
+        """
         at = 0
         for hit in [*(self.special.finditer(text) if self.special else ()), None]:
             end = hit.start() if hit else len(text)
-            if self.latin is None or re.search("[\x1c-\x1f]", text[at:end]):
-                # Not every tokenizer drops white space, and not all of it is what str.split takes for it.
-                if text[at:end]:
-                    yield [text[at:end]]
-            else:
-                while at < end:
-                    stop = min(end, at + CHUNK)
-                    while stop < end and not text[stop].isspace():
-                        stop += 1
-                    yield text[at:stop].split()
-                    at = stop
+            while at < end:
+                stop = min(end, at + CHUNK)
+                if self.latin is None:
+                    stop = end
+                while stop < end and not text[stop].isspace():
+                    stop += 1
+                chunk, at = text[at:stop], stop
+                if self.latin is not None and not self.odd.search(chunk):
+                    yield True, self.latin.findall(chunk.lower())
+                else:
+                    normal = self.library.normalizer.normalize_str(chunk) if self.library.normalizer else chunk
+                    yield False, [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
             if hit:
                 yield self.added[hit[0]]
                 at = hit.end()
 
+    @staticmethod
+    def looked_up(table: Remembered, words: list[str]) -> list:
+        """Results for the words; those of very long words are not kept."""
+        if max(map(len, words), default=0) <= STEP:
+            return list(map(table.__getitem__, words))
+        return [table[w] if len(w) <= STEP else table.compute(w) for w in words]
+
     def encode(self, text: str) -> Iterator[int]:
-        for piece in self.chunks(text):
+        for piece in self.pieces(text):
             if isinstance(piece, int):
                 yield piece
             else:
-                for span in piece:
-                    yield from self.span_ids[span] if len(span) <= STEP else self._span(span)
+                for ids in self.looked_up(self.ids_of[piece[0]], piece[1]):
+                    yield from ids
 
     def decoder(self) -> IncrementalDecoder:
         return IncrementalDecoder(self.tokens, self.suffix, self.special_ids, self.joined)
@@ -332,30 +358,30 @@ class Codec:
         yield machine.finish()
 
     def text_of(self, ids: Iterable[int]) -> str:
-        return "".join(self.decode(ids))
-
-    def _summary(self, span: str) -> tuple[int, bytes, bytes]:
-        return self._summarize(self._span(span))
+        machine = self.decoder()
+        return machine.feed_all(list(ids)) + machine.finish()
 
-    def _summarize(self, ids: list[int]) -> tuple[int, bytes, bytes]:
+    def summarize(self, ids: list[int]) -> tuple[int, bytes, bytes]:
+        """Number of ids, the ids as decimals, and their text."""
         return len(ids), " ".join(map(str, ids)).encode(), self.text_of(ids).encode()
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids as decimals, SHA-256 of the decoded text.
 
-        Without a decoder the decoded text of two runs is that of each with a space between,
-        so the digests are fed run by run.
+        Without a decoder the decoded text of two words is that of each with a space between,
+        so the digests are fed piece by piece.
         """
         if not self.joined:
             ids = list(self.encode(text))
             listed, decoded = " ".join(map(str, ids)).encode(), self.text_of(ids).encode()
             return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
         total, listed, decoded, between = 0, hashlib.sha256(), hashlib.sha256(), b""
-        for piece in self.chunks(text):
+        for piece in self.pieces(text):
             if isinstance(piece, int):
-                found = [self._summarize([piece])]
+                found = [self.summarize([piece])]
             else:
-                found = [self.summaries[s] if len(s) <= STEP else self._summary(s) for s in piece]
+                found = self.looked_up(self.summary_of[piece[0]], piece[1])
+            # A word without any token that the vocabulary knows leaves no trace.
             found = [f for f in found if f[0]]
             if found:
                 counts, ids, texts = zip(*found)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipelens.llm import files
-from swipelens.llm.bpe import Codec, Remembered, STEP, read_spec
+from swipelens.llm.bpe import Codec, Remembered, in_symbols, read_spec
 from swipelens.llm.common import ship, whole
 from swipelens.session import materialize, new_path
 
@@ -178,24 +179,25 @@ class WaveletMatrix:
 
 
 class LibraryIds:
-    """Ids of whole texts by the tokenizers library, as bytes; runs of text are remembered."""
+    """Ids of whole texts by the tokenizers library, as bytes; words are remembered."""
 
     def __init__(self, spec: str, end_id: int):
         self.codec = Codec(spec)
         self.end = np.array([end_id], "<u4").tobytes()
-        # The library's own merges; the codec only splits, and remembers words.
         model = self.codec.library.model.tokenize
-        self.codec._word = lambda word: [t.id for t in model(word)]
-        self.codec.word_ids = Remembered(self.codec._word)
-        self.runs = Remembered(lambda run: np.array(self.codec._span(run), "<u4").tobytes())
+
+        def of(word: str) -> bytes:
+            return array("I", [t.id for t in model(word)]).tobytes()
+
+        self.bytes_of = {True: Remembered(lambda word: of(in_symbols(word))), False: Remembered(of)}
 
     def __call__(self, text: str) -> np.ndarray:
-        parts, runs = [], self.runs
-        for piece in self.codec.chunks(text):
+        parts = []
+        for piece in self.codec.pieces(text):
             if isinstance(piece, int):
                 parts.append(np.array([piece], "<u4").tobytes())
             else:
-                parts += [runs[run] if len(run) <= STEP else runs.compute(run) for run in piece]
+                parts += self.codec.looked_up(self.bytes_of[piece[0]], piece[1])
         parts.append(self.end)
         return np.frombuffer(b"".join(parts), "<u4")
 
