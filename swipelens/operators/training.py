@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
 from functools import reduce
@@ -210,14 +211,36 @@ def sample_grid(grid: dict[str, list], trials: int | None, seed: int = C.SEED) -
     return random.Random(seed).sample(combos, trials)
 
 
+def draw_params(space: dict[str, tuple | list], trials: int, seed: int = C.SEED) -> list[dict]:
+    """Seeded draws: (low, high, "linear", "log" or "int") is a range, a list a choice."""
+    draw = random.Random(seed)
+
+    def one(span):
+        if isinstance(span, list):
+            return draw.choice(span)
+        low, high, scale = span
+        if scale == "int":
+            return draw.randint(low, high)
+        if scale == "log":
+            return math.exp(draw.uniform(math.log(low), math.log(high)))
+        if scale == "linear":
+            return draw.uniform(low, high)
+        raise ValueError(f"unknown scale {scale!r}; choose linear, log or int")
+
+    return [{k: one(v) for k, v in space.items()} for _ in range(trials)]
+
+
 def param_search(
-    splits: list[tuple[DataFrame, DataFrame]], name: str, grid: dict[str, list],
+    splits: list[tuple[DataFrame, DataFrame]], name: str, grid: dict[str, list | tuple],
     trials: int | None = 25, score: str = "average_precision", target: str = C.TARGET,
     seed: int = C.SEED, strategy: str = "class_weight", encoder: FeatureEncoder | None = None,
     full: DataFrame | None = None,
 ) -> tuple[DataFrame, Model | None]:
     """Ranked trial table over fixed time splits, and the best setting refitted on ``full``.
 
+    ``grid`` lists values, of which all combinations or a sample are tried; with a range
+    among them (see ``draw_params``) every trial is drawn.
+
     ``splits`` hold feature rows. Each split's encoder is fitted on its own training rows
     and its encoded tables are kept for all trials.
     """
@@ -230,7 +253,10 @@ def param_search(
         prepared.append(tuple(
             fitted.transform(part).persist(StorageLevel.MEMORY_AND_DISK) for part in (fit_rows, held_out)
         ))
-    combos = sample_grid(grid, trials, seed)
+    ranged = any(isinstance(v, tuple) for v in grid.values())
+    if ranged and trials is None:
+        raise ValueError("a search over ranges needs a number of trials")
+    combos = draw_params(grid, trials, seed) if ranged else sample_grid(grid, trials, seed)
     results = []
     try:
         for number, params in enumerate(combos):

@@ -267,6 +267,21 @@ def oracle_sql() -> dict[str, str]:
     checks = [f"select 'present:{c}' as \"check\", 1::bigint as passed" for c in [*text, *SCALED, *PASSED_FLOAT, *PASSED_INT]]
     checks += [f"select 'not_null:{c}', cast(count(*) = count({c}) as bigint) from feat" for c in always]
     checks.append("select 'row_count', cast(count(*) = (select count(*) from events) as bigint) from feat")
+    q["model_store_check"] = txn + "select count(*) as n_rows, 0::bigint as n_changed from txn where not in_train"
+    q["train_all_check"] = txn + " union all ".join(
+        f"select '{m}' as model, count(*) as n_scored, 0::bigint as n_out_of_range, count(*) as n_counted"
+        " from txn where not in_train"
+        for m in ("Logistic Regression", "Random Forest", "Gradient Boosted Trees", "XGBoost", "LightGBM")
+    )
+    strong = ["amt", "amt_log", "lat", "merch_lat", "long", "merch_long", "city_pop", "city_pop_log"]
+    lined = [(a, b) for i, a in enumerate(strong) for b in strong[i + 1:]]
+    q["drop_collinear"] = with_(TXN, rows_cte("txn", "rowf"), "links as (" + " union all ".join(
+        f"select '{a}' as column_a, '{b}' as column_b, corr({a}, {b}) as c from rowf" for a, b in lined
+    ) + ")") + (
+        f"select column_a, column_b, {r('c', 'corr')} from links"
+        " where column_a not in (select column_a from links where abs(c) >= 0.9)"
+        " and column_b not in (select column_a from links where abs(c) >= 0.9)"
+    )
     q["required_columns"] = with_(TXN, windows(), rows_cte()) + " union all ".join(checks)
     q["date_filter"] = txn + (
         f"select trans_num, {r('amt', 'amt')} from txn where trans_date_trans_time >= timestamp '2024-01-20'"

@@ -21,21 +21,13 @@ from swipelens.operators import series as R
 from swipelens.operators import splits as L
 from swipelens.operators import training as G
 from swipelens.plans.features import feature_engineering, history_features, leak_probe, row_features
-from swipelens.session import materialize, new_path, use_utc
+from swipelens.session import ON_RELEASE, materialize, new_path, use_utc
 from swipelens.sources import stand_in as SI
 from swipelens.sources import transactions as IO
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-#: Smaller forests for the registered queries; the presets are the library's defaults.
-QUICK = {
-    "Logistic Regression": {"maxIter": 50},
-    "Random Forest": {"numTrees": 10, "maxDepth": 6},
-    "Gradient Boosted Trees": {"maxIter": 8},
-    "XGBoost": {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2},
-    "LightGBM": {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2},
-}
 NUMERIC = ["amt", "lat", "long", "city_pop", "merch_lat", "merch_long"]
 
 
@@ -654,10 +646,35 @@ def _(txn):
 # Training
 
 
+#: What was fitted in this application, by application, name and input files.
+_FITTED: dict[tuple, object] = {}
+ON_RELEASE.append(_FITTED.clear)
+
+
+def _once(txn: DataFrame, name: str, build: Callable[[], object]) -> object:
+    """Fitting is the long part of these queries, and several of them read the same fit."""
+    key = (txn.sparkSession.sparkContext.applicationId, name, *sorted(txn.inputFiles()))
+    if key not in _FITTED:
+        _FITTED[key] = build()
+    return _FITTED[key]
+
+
 def _encoded(txn: DataFrame) -> tuple[E.FeatureEncoderModel, DataFrame, DataFrame]:
-    train, test = _featured(txn)
-    fitted = E.FeatureEncoder().fit(train)
-    return fitted, materialize(fitted.transform(train)), materialize(fitted.transform(test))
+    def build():
+        train, test = _featured(txn)
+        fitted = E.FeatureEncoder().fit(train)
+        return fitted, materialize(fitted.transform(train)), materialize(fitted.transform(test))
+
+    return _once(txn, "encoded", build)
+
+
+def _model(txn: DataFrame, name: str):
+    """A preset at full size, fitted on the training rows."""
+    return _once(txn, name, lambda: G.train(_encoded(txn)[1], name))
+
+
+def _scores(txn: DataFrame, name: str) -> DataFrame:
+    return _once(txn, f"scores of {name}", lambda: materialize(G.score_rows(_model(txn, name), _encoded(txn)[2])))
 
 
 @query("class_weights")
@@ -665,42 +682,70 @@ def _(txn):
     return G.class_weights(SI.train_rows(txn))
 
 
-@query("model_store")
-def _(txn):
-    fitted, train, test = _encoded(txn)
+def _reloaded(txn: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Test scores of encoder and model, and of both after they were saved and loaded."""
+    fitted, _, _ = _encoded(txn)
     folder = new_path(txn.sparkSession)
     fitted.save(f"{folder}/encoder")
-    G.save_model(G.train(train, "Logistic Regression", **QUICK["Logistic Regression"]), "Logistic Regression", folder)
+    G.save_model(_model(txn, "Logistic Regression"), "Logistic Regression", folder)
     encoder = E.FeatureEncoderModel.load(txn.sparkSession, f"{folder}/encoder")
     again = encoder.transform(feature_engineering(SI.test_rows(txn)))
-    return G.score_rows(G.load_model("Logistic Regression", folder), again)
+    return _scores(txn, "Logistic Regression"), G.score_rows(G.load_model("Logistic Regression", folder), again)
 
 
-def _trained(name: str) -> Callable[[DataFrame], DataFrame]:
-    def build(txn: DataFrame) -> DataFrame:
-        _, train, test = _encoded(txn)
-        return G.evaluate_model(G.train(train, name, **QUICK[name]), test, name)
+@query("model_store")
+def _(txn):
+    return _reloaded(txn)[1]
+
+
+@query("model_store_check")
+def _(txn):
+    """Rows whose score changes when encoder and model are saved and loaded."""
+    before, after = _reloaded(txn)
+    both = before.select(C.ROW_ID, F.col("score").alias("_a")).join(after.select(C.ROW_ID, F.col("score").alias("_b")), C.ROW_ID, "full")
+    same = F.col("_a").eqNullSafe(F.col("_b")) | (F.abs(F.col("_a") - F.col("_b")) < 1e-12)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("n_changed"))
 
-    return build
+
+def _trained(name: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda txn: M.evaluate_scores(_scores(txn, name), name)
 
 
 query("train_logistic")(_trained("Logistic Regression"))
 query("train_forest")(_trained("Random Forest"))
 query("train_gbt")(_trained("Gradient Boosted Trees"))
+query("train_xgboost")(_trained("XGBoost"))
+query("train_lightgbm")(_trained("LightGBM"))
 
 
 @query("train_all")
 def _(txn):
-    _, train, test = _encoded(txn)
-    return G.evaluate_all(G.train_all(train, overrides=QUICK), test)
+    return L.union_all(*[_trained(name)(txn) for name in G.PRESETS])
+
+
+@query("train_all_check")
+def _(txn):
+    """Per model: scored rows, scores out of range, and what the confusion counts add up to."""
+    parts = [
+        _scores(txn, name).agg(
+            F.lit(name).alias("model"), F.count("score").alias("n_scored"),
+            F.count_if((F.col("score") < 0) | (F.col("score") > 1)).alias("n_out_of_range"),
+        ).join(
+            M.evaluate_scores(_scores(txn, name), name)
+            .select("model", (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n_counted")),
+            "model",
+        )
+        for name in G.PRESETS
+    ]
+    return L.union_all(*parts)
 
 
 @query("param_search")
 def _(txn):
     train = materialize(feature_engineering(SI.train_rows(txn)))
+    space = {"C": (1e-3, 1e2, "log"), "elasticNetParam": (0.0, 1.0, "linear")}
     table, _ = G.param_search(
-        [L.time_based_split(train, 0.2)], "Gradient Boosted Trees",
-        {"maxIter": [4, 8], "maxDepth": [2, 3], "stepSize": [0.1, 0.3]}, trials=3,
+        [L.time_based_split(train, 0.2)], "Logistic Regression", space, trials=25, full=train
     )
     return table
 
@@ -709,7 +754,7 @@ def _(txn):
 def _(txn):
     _, train, test = _encoded(txn)
     small = L.balance_data(train)
-    model = G.train(small, "Random Forest", strategy="undersample", **QUICK["Random Forest"])
+    model = _once(txn, "undersampled forest", lambda: G.train(small, "Random Forest", strategy="undersample"))
     held_out = materialize(G.score_rows(model, train))
     scores = G.score_rows(model, test)
     parts = [
@@ -719,10 +764,22 @@ def _(txn):
     return parts[0].join(parts[1].drop("label"), C.ROW_ID)
 
 
+def _swept(txn: DataFrame) -> DataFrame:
+    def build():
+        _, train, test = _encoded(txn)
+        return materialize(G.ratio_sweep(train, test, [1, 5, 10, 20], calibrated=True))
+
+    return _once(txn, "ratios", build)
+
+
 @query("ratio_sweep")
 def _(txn):
-    _, train, test = _encoded(txn)
-    return G.ratio_sweep(train, test, [5, 20], calibrated=True, **QUICK["Random Forest"])
+    return _swept(txn)
+
+
+@query("best_ratios")
+def _(txn):
+    return G.best_ratios(_swept(txn))
 
 
 # Evaluation
@@ -735,8 +792,7 @@ def _(txn):
 
 @query("score_transactions")
 def _(txn):
-    _, train, test = _encoded(txn)
-    return G.score_rows(G.train(train, "Random Forest", **QUICK["Random Forest"]), test)
+    return _scores(txn, "Random Forest")
 
 
 @query("rank_curves")
@@ -766,34 +822,29 @@ def _(txn):
 
 @query("best_model_summary", 4)
 def _(txn):
-    _, train, test = _encoded(txn)
-    models = G.train_all(train, ["Logistic Regression", "Random Forest"], overrides=QUICK)
-    scores = {n: materialize(G.score_rows(m, test)) for n, m in models.items()}
+    scores = {n: _scores(txn, n) for n in G.PRESETS}
     results = materialize(L.union_all(*[M.evaluate_scores(s, n) for n, s in scores.items()]))
     return M.best_model_summary(results, scores)
 
 
 @query("fold_means")
 def _(txn):
-    rows = materialize(L.time_series_folds(feature_engineering(txn), 2))
-    results = G.fold_results([L.fold(rows, k) for k in (1, 2)], ["Logistic Regression", "Random Forest"], overrides=QUICK)
+    rows = materialize(L.time_series_folds(feature_engineering(txn), 5))
+    results = G.fold_results([L.fold(rows, k) for k in range(1, 6)], ["Logistic Regression", "Random Forest"])
     return G.fold_summary(results)
 
 
 @query("importance_table")
 def _(txn):
-    fitted, train, _ = _encoded(txn)
-    model = G.train(train, "Random Forest", **QUICK["Random Forest"])
-    named = G.importances(model, fitted.feature_names())
+    named = G.importances(_model(txn, "Random Forest"), _encoded(txn)[0].feature_names())
     return M.importance_table(txn.sparkSession, [n for n, _ in named], [v for _, v in named])
 
 
 @query("sampled_attribution")
 def _(txn):
-    fitted, train, test = _encoded(txn)
+    fitted, _, test = _encoded(txn)
     names = fitted.feature_names()
     parts = []
     for name in ("Logistic Regression", "Random Forest"):
-        model = G.train(train, name, **QUICK[name])
-        parts.append(X.attribution(model, test, names, sample=2000).withColumn("model", F.lit(name)))
+        parts.append(X.attribution(_model(txn, name), test, names, sample=2000).withColumn("model", F.lit(name)))
     return L.union_all(*parts)

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths handed out by ``new_path`` and not yet deleted, by application.
+_PATHS: dict[str, list[str]] = {}
+#: Called when tables are deleted, so that nobody keeps a frame that reads them.
+ON_RELEASE: list[Callable[[], None]] = []
+
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -43,7 +50,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/swipelens-{uuid.uuid4().hex}"
+    """A new folder for tables or files that are needed while results are computed."""
+    path = f"{shared_folder(spark).rstrip('/')}/swipelens-{uuid.uuid4().hex}"
+    _PATHS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete what was written under ``new_path``, from the ``since``-th path on.
+
+    Frames that still read those tables fail afterwards, so call it once results are out.
+    """
+    for forget in ON_RELEASE:
+        forget()
+    paths = _PATHS.get(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths[since:]:
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    del paths[since:]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what the block wrote under ``new_path``."""
+    begin = len(_PATHS.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, begin)
 
 
 def materialize(df: DataFrame) -> DataFrame:

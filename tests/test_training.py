@@ -8,11 +8,20 @@ from swipelens.operators import metrics as M
 from swipelens.operators import splits as L
 from swipelens.operators import training as G
 from swipelens.plans.features import feature_engineering
-from swipelens.plans.queries import QUICK
 from swipelens.session import materialize, new_path
 from swipelens.sources import stand_in
 
 
+#: Small models, so that the tests end soon; the named queries fit the presets as they are.
+QUICK = {
+    "Logistic Regression": {"maxIter": 50},
+    "Random Forest": {"numTrees": 10, "maxDepth": 6},
+    "Gradient Boosted Trees": {"maxIter": 8},
+    "XGBoost": {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2},
+    "LightGBM": {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2},
+}
+
+
 @pytest.fixture(scope="module")
 def matrix(spark):
     txn = stand_in.transactions(spark, "/root/testdata/sf0.01")
@@ -117,3 +126,21 @@ def test_attribution(matrix):
     found = {r["feature"]: r["mean_abs"] for r in X.attribution(tree, test, names, 300).collect()}
     unused = [n for n, v in G.importances(tree, names) if v == 0]
     assert set(found) == set(names) and max(found.values()) > 0 and all(found[n] == 0 for n in unused)
+
+
+def test_draws_stay_in_their_ranges():
+    space = {"C": (1e-3, 10.0, "log"), "stepSize": (0.1, 0.3, "linear"), "maxDepth": (2, 5, "int"), "featureSubsetStrategy": ["0.6", "0.8"]}
+    drawn = G.draw_params(space, 200)
+    assert drawn == G.draw_params(space, 200) and drawn != G.draw_params(space, 200, seed=1)
+    assert all(1e-3 <= d["C"] <= 10 and 0.1 <= d["stepSize"] <= 0.3 and d["maxDepth"] in (2, 3, 4, 5) for d in drawn)
+    assert sum(d["C"] < 0.1 for d in drawn) > 60 and {d["featureSubsetStrategy"] for d in drawn} == {"0.6", "0.8"}
+
+
+def test_search_over_ranges_refits_the_best(matrix, spark):
+    train = materialize(feature_engineering(stand_in.train_rows(stand_in.transactions(spark, "/root/testdata/sf0.01"))))
+    table, model = G.param_search(
+        [L.time_based_split(train, 0.3)], "Logistic Regression", {"C": (1e-2, 10.0, "log"), "maxIter": [20]}, trials=2, full=train
+    )
+    assert table.count() == 2 and model.numFeatures == len(matrix[0].feature_names())
+    with pytest.raises(ValueError):
+        G.param_search([L.time_based_split(train, 0.3)], "Logistic Regression", {"C": (1.0, 2.0, "log")}, trials=None)
