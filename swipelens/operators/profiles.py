@@ -162,16 +162,19 @@ def _pairs(columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
 
 
-def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = 100) -> DataFrame:
+def correlation_pairs(
+    df: DataFrame, columns: list[str], chunk: int = 100, nulls: dict[str, int] | None = None
+) -> DataFrame:
     """(column_a, column_b, corr) for each unordered pair; Pearson over complete pairs.
 
     Columns without missing values share one pass of Spark's vector correlation. Pairs with
     a missing value on either side are aggregated pair by pair, in chunks that keep an
-    aggregation buffer small.
+    aggregation buffer small. ``nulls``: missing values per column, if they are known.
     """
     spark = df.sparkSession
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    nulls = cast.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    if nulls is None:
+        nulls = cast.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     full = [c for c in columns if nulls[c] == 0]
     found = []
     if len(full) > 1:
@@ -197,13 +200,16 @@ def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = 100) -> Da
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Full matrix in long form: both orders of each pair and the diagonal."""
-    pairs = correlation_pairs(df, columns)
+    # Missing values and spread of all columns in one pass.
+    state = df.agg(
+        *[F.struct(F.count_if(F.col(c).isNull()).alias("nulls"), (F.min(c) < F.max(c)).alias("spread")).alias(c) for c in columns]
+    ).first()
+    pairs = correlation_pairs(df, columns, nulls={c: state[c]["nulls"] for c in columns})
     flipped = pairs.select(
         F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"
     )
-    present = df.agg(*[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(c) for c in columns])
-    diagonal = unpivot(present, columns, "column_a", "corr").select(
-        "column_a", F.col("column_a").alias("column_b"), "corr"
+    diagonal = df.sparkSession.createDataFrame(
+        [(c, c, 1.0 if state[c]["spread"] else None) for c in columns], pairs.schema
     )
     return pairs.unionByName(flipped).unionByName(diagonal)
 
@@ -223,7 +229,7 @@ def _average_ranks(pairs: DataFrame, column: str) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Spearman correlation with average ranks for ties, over complete pairs."""
-    pairs = (
+    pairs = materialize(
         df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(x, y).agg(F.count(F.lit(1)).alias("_n"))
     )
