@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from swipelens.llm.files import put
+from swipelens.session import shared_folder
+
 #: White space between words: space and the controls 9 to 13. Nothing else parts words.
 GAP_CHARS = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
@@ -21,12 +24,13 @@ def ship(spark: SparkSession) -> None:
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="swipelens-")) / "swipelens.zip"
-    with zipfile.ZipFile(target, "w") as archive:
+    root, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for source in sorted(root.rglob("*.py")):
             archive.write(source, source.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(target))
+    folder, name = shared_folder(spark).rstrip("/"), f"swipelens-{application}.zip"
+    put(folder, name, packed.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{name}")
     _shipped.add(application)
 
 
