@@ -334,13 +334,14 @@ def _mutual_information(counts: DataFrame, group: list[str], target: str) -> Dat
 def categorical_information(df: DataFrame, columns: list[str], target: str = C.TARGET) -> DataFrame:
     """Mean, over the 0/1 columns of a category, of their MI with the target."""
     cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]
-    counts = (
+    counts = materialize(
         df.select(target, F.explode(F.array(*cells)).alias("_cell"))
         .groupBy("_cell.feature", "_cell.value")
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(target).alias("_pos"))
     )
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("pos")).first()
-    all_n, all_pos = float(size["n"]), float(size["pos"] or 0)
+    # Every row has one cell per column, so the cells of one column count all rows.
+    size = counts.where(F.col("feature") == columns[0]).agg(F.sum("_n").alias("n"), F.sum("_pos").alias("pos")).first()
+    all_n, all_pos = float(size["n"] or 0), float(size["pos"] or 0)
 
     def term(n: Column, side: Column, label_total: float) -> Column:
         return F.when(n > 0, n / all_n * F.ln(n * all_n / (F.nullif(side, F.lit(0)) * F.lit(label_total)))).otherwise(0.0)

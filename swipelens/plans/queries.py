@@ -399,8 +399,10 @@ def _(txn):
 
 @query("describe_numeric", 4)
 def _(txn):
-    everything = P.describe_numeric(txn, NUMERIC).withColumn(C.TARGET, F.lit(-1))
-    return everything.unionByName(P.describe_numeric(txn, NUMERIC, [C.TARGET]))
+    # Several passes follow: they read the narrow columns, not the joins behind them.
+    rows = materialize(txn.select(C.TARGET, *NUMERIC))
+    everything = P.describe_numeric(rows, NUMERIC).withColumn(C.TARGET, F.lit(-1))
+    return everything.unionByName(P.describe_numeric(rows, NUMERIC, [C.TARGET]))
 
 
 @query("describe_categorical")
@@ -455,7 +457,7 @@ def _(txn):
 @query("correlation_matrix")
 def _(txn):
     columns = [*NUMERIC, "distance_km", "hour_of_day", "day_of_week", C.TARGET]
-    return P.correlation_matrix(row_features(txn), columns)
+    return P.correlation_matrix(materialize(row_features(txn).select(*columns)), columns)
 
 
 @query("target_correlations")
@@ -491,7 +493,9 @@ def _(txn):
 
 @query("mutual_information")
 def _(txn):
-    return P.mutual_information(row_features(txn), [*NUMERIC, "distance_km"], ["gender", "category", "job"])
+    numeric, categorical = [*NUMERIC, "distance_km"], ["gender", "category", "job"]
+    rows = materialize(row_features(txn).select(C.TARGET, *numeric, *categorical))
+    return P.mutual_information(rows, numeric, categorical)
 
 
 @query("iqr_outliers", 4)
