@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipelens import config as C
+from swipelens.operators.quality import value_counts
 from swipelens.operators.quantiles import medians
 from swipelens.session import materialize
 from swipelens.sizing import BROADCAST_ROWS
@@ -85,10 +86,15 @@ class SmoothedTargetEncoder:
 
 
 def one_hot_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted categories per column; at most ONE_HOT_LIMIT of them."""
+    """Sorted categories per column; at most ONE_HOT_LIMIT of them. All columns share one pass."""
+    return _categories(materialize(value_counts(df, columns).where("value is not null")), columns)
+
+
+def _categories(table: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """The same from a table of (column, value)."""
     found = {}
     for column in columns:
-        values = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
+        values = table.where(F.col("column") == column).select(F.col("value").alias("v"))
         rows = values.orderBy("v").limit(ONE_HOT_LIMIT + 1).collect()
         if len(rows) > ONE_HOT_LIMIT:
             raise ValueError(f"{column} has over {ONE_HOT_LIMIT} categories: name it in sparse instead")
@@ -240,11 +246,18 @@ class FeatureEncoder(Estimator):
     def _fit(self, df: DataFrame) -> FeatureEncoderModel:
         scaled = self.roles["scaled"]
         middle = {c: 0.0 if v is None else v for c, v in medians(df, scaled).items()} if scaled else {}
-        stats = scale_statistics(median_impute(df.select(*scaled), middle), scaled) if scaled else {}
+        # One pass for means, spreads and the prior; one more for all categories and their labels.
+        prior = "_prior"
+        rows = median_impute(df.select(*scaled, F.col(self.target).cast("double").alias(prior)), middle)
+        stats = scale_statistics(rows, [*scaled, prior])
         numeric = {c: {"median": middle[c], "mean": stats[c][0], "std": stats[c][1]} for c in scaled}
-        categories = one_hot_categories(df, self.roles["onehot"])
+        onehot, encoded = self.roles["onehot"], self.roles["encoded"]
+        both = SmoothedTargetEncoder([*encoded, *[c for c in onehot if c not in encoded]], self.targets.smoothing, self.targets.min_samples_leaf)
+        table = materialize(both.statistics(df, self.target, stats[prior][0]))
+        categories = _categories(table, onehot)
+        targets = TargetEncoderModel(encoded, table.where(F.col("column").isin(encoded)), stats[prior][0])
         sparse = {c: one_hot_vector(df, c, f"{c}_onehot") for c in self.roles["sparse"]}
-        return FeatureEncoderModel(self.roles, numeric, categories, self.targets.fit(df, self.target), sparse)
+        return FeatureEncoderModel(self.roles, numeric, categories, targets, sparse)
 
 
 def out_of_fold_encode(
