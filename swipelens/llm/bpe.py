@@ -50,6 +50,8 @@ KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: One past the last character of the short cut, and white space below it.
 LATIN_END = 0x180
 LATIN_SPACE = "\t\n\x0b\x0c\r \x85\xa0"
+#: Controls that Python takes for white space and the library does not.
+NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 def byte_symbols() -> dict[int, str]:
@@ -260,7 +262,7 @@ class Codec:
         self.lengths = {i: max(1, len(t.removesuffix(self.suffix))) for i, t in enumerate(self.tokens)}
         self.latin = self._latin_pattern() if self._is_known(data) else None
         self.special_ids = frozenset(added.values())
-        self.odd = re.compile(f"[\x1c-\x1f]|[^\x00-{chr(LATIN_END - 1)}]")
+        self.odd = re.compile(f"[^\x00-{chr(LATIN_END - 1)}]")
         # By spelling: of Latin words as they stand in the text, of others in the model's symbols.
         self.ids_of = {True: Remembered(self.latin_ids), False: Remembered(self.symbol_ids)}
         self.summary_of = {
@@ -309,14 +311,28 @@ class Codec:
     def latin_ids(self, word: str) -> list[int]:
         return self.symbol_ids(in_symbols(word))
 
-    def pieces(self, text: str) -> Iterator[int | tuple[bool, list[str]]]:
+    def is_latin(self, text: str) -> bool:
+        """Whether the short cut holds for a text; the cheap tests settle it for most."""
+        if self.latin is None or any(c in text for c in NOT_SPACE):
+            return False
+        if text.isascii():
+            return True
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return not self.odd.search(text)
+        return True
+
+    def pieces(self, text: str, runs: bool = False) -> Iterator[int | tuple[bool, list[str]]]:
         """Ids of added tokens that the text spells out, and between them lists of words.
 
         Whether the words are Latin ones as they stand comes with each list. Long texts are
-        cut at white space, where no word goes on.
+        cut at white space, where no word goes on. With ``runs`` Latin text comes as lower-case
+        runs between white space, which ``latin`` splits into words.
         """
         at = 0
-        for hit in [*(self.special.finditer(text) if self.special else ()), None]:
+        spelled = any(content in text for content in self.added)
+        for hit in [*(self.special.finditer(text) if spelled else ()), None]:
             end = hit.start() if hit else len(text)
             while at < end:
                 stop = min(end, at + CHUNK)
@@ -325,8 +341,8 @@ class Codec:
                 while stop < end and not text[stop].isspace():
                     stop += 1
                 chunk, at = text[at:stop], stop
-                if self.latin is not None and not self.odd.search(chunk):
-                    yield True, self.latin.findall(chunk.lower())
+                if self.is_latin(chunk):
+                    yield True, chunk.lower().split() if runs else self.latin.findall(chunk.lower())
                 else:
                     normal = self.library.normalizer.normalize_str(chunk) if self.library.normalizer else chunk
                     yield False, [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]

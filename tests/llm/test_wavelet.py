@@ -52,7 +52,7 @@ def test_matrix(n, top):
     matrix = wavelet.WaveletMatrix.build(ids, [4, None], [0, n // 2, n], 3, 17)
     back = wavelet.WaveletMatrix.from_bytes(matrix.to_bytes())
     assert (back.n, back.partition, back.base, back.has_id.tolist()) == (n, 3, 17, [True, False])
-    assert (np.concatenate(list(back.slice(0, n))) == ids).all()
+    assert (np.concatenate(list(back.slice(0, n))) == ids).all() and (back.decode() == ids).all()
     at = draw.integers(0, n, 50)
     assert (back.access(at) == ids[at]).all()
     for token in {int(ids[0]), int(ids[-1]), 0, top - 1, top + 5, 1 << 20}:
