@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of SimHash near-duplicates, that with the smallest id."""
-    return simhash.keep_one(simhash.near_duplicates(docs, keep_text=True)).select(COLUMNS)
+    return simhash.deduplicate(docs).select(COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

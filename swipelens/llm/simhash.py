@@ -376,13 +376,30 @@ def near_duplicates(
     )
 
 
-def keep_one(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The row with the smallest id of each group; of rows that share it, the first.
-
-    Groups are reduced on the map side to one row number each, which then selects the rows.
-    """
+def _first_rows(marked: DataFrame, id_col: str) -> DataFrame:
+    """Row number of the smallest id of each group, reduced on the map side."""
     first = marked.groupBy("component_id").agg(
         F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(ROW_ID).alias("row"))).alias("_first")
     )
-    chosen = first.select(F.col("_first.row").alias(ROW_ID))
-    return marked.join(chosen, ROW_ID, "left_semi").drop(ROW_ID)
+    return first.select(F.col("_first.row").alias(ROW_ID))
+
+
+def keep_one(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The row with the smallest id of each group; of rows that share it, the first."""
+    return marked.join(_first_rows(marked, id_col), ROW_ID, "left_semi").drop(ROW_ID)
+
+
+def deduplicate(
+    df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """``keep_one`` of the near-duplicates, with the columns of ``df``; texts move once.
+
+    Groups and their first rows are found on ids and fingerprints alone.
+    """
+    base = df.drop("_fp", ROW_ID)
+    printed = with_fingerprint(base, text, shingle).withColumn(ROW_ID, F.monotonically_increasing_id())
+    printed = materialize(printed)
+    narrow = printed.select(id_col, "_fp", ROW_ID)
+    marked = narrow.join(group_ids(narrow.select("_fp", id_col), id_col, radius), "_fp")
+    chosen = materialize(_first_rows(marked, id_col))
+    return printed.join(chosen, ROW_ID, "left_semi").select(*base.columns)

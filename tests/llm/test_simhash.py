@@ -96,6 +96,8 @@ def test_odd_rows(spark):
     assert got[(None, "A b\x0bc")] == got[(9, "a B C")] == 9
     kept = simhash.keep_one(marked)
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 9]
+    once = simhash.deduplicate(frame)
+    assert once.columns == frame.columns and sorted(r["doc_id"] for r in once.collect()) == [1, 4, 9]
 
 
 def test_empty_table_and_only_null_ids(spark):
