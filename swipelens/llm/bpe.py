@@ -182,13 +182,18 @@ class MergeList:
 
 
 class Remembered(dict):
-    """Results of the keys seen lately: those of this generation and of the one before."""
+    """Results of the keys seen lately: those of this generation and of the one before.
+
+    Those of very long keys are not kept.
+    """
 
     def __init__(self, compute):
         super().__init__()
         self.compute, self.before = compute, {}
 
     def __missing__(self, key):
+        if len(key) > STEP:
+            return self.compute(key)
         if len(self) >= REMEMBERED:
             self.before = dict(self)
             self.clear()
@@ -350,19 +355,12 @@ class Codec:
                 yield self.added[hit[0]]
                 at = hit.end()
 
-    @staticmethod
-    def looked_up(table: Remembered, words: list[str]) -> list:
-        """Results for the words; those of very long words are not kept."""
-        if max(map(len, words), default=0) <= STEP:
-            return list(map(table.__getitem__, words))
-        return [table[w] if len(w) <= STEP else table.compute(w) for w in words]
-
     def encode(self, text: str) -> Iterator[int]:
         for piece in self.pieces(text):
             if isinstance(piece, int):
                 yield piece
             else:
-                for ids in self.looked_up(self.ids_of[piece[0]], piece[1]):
+                for ids in map(self.ids_of[piece[0]].__getitem__, piece[1]):
                     yield from ids
 
     def decoder(self) -> IncrementalDecoder:
@@ -396,7 +394,7 @@ class Codec:
             if isinstance(piece, int):
                 found = [self.summarize([piece])]
             else:
-                found = self.looked_up(self.summary_of[piece[0]], piece[1])
+                found = map(self.summary_of[piece[0]].__getitem__, piece[1])
             # A word without any token that the vocabulary knows leaves no trace.
             found = [f for f in found if f[0]]
             if found:

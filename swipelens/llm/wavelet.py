@@ -206,8 +206,11 @@ class LibraryIds:
 
         latin, other = Remembered(lambda word: of(in_symbols(word))), Remembered(of)
 
+        split = self.codec.latin.findall if self.codec.latin else None
+
         def run(text: str) -> bytes:
-            return b"".join(self.codec.looked_up(latin, self.codec.latin.findall(text)))
+            words = split(text)
+            return latin[words[0]] if len(words) == 1 else b"".join(map(latin.__getitem__, words))
 
         self.bytes_of = {True: Remembered(run), False: other}
 
@@ -217,7 +220,7 @@ class LibraryIds:
             if isinstance(piece, int):
                 parts.append(np.array([piece], "<u4").tobytes())
             else:
-                parts += self.codec.looked_up(self.bytes_of[piece[0]], piece[1])
+                parts.append(b"".join(map(self.bytes_of[piece[0]].__getitem__, piece[1])))
         parts.append(self.end)
         return np.frombuffer(b"".join(parts), "<u4")
 
