@@ -8,7 +8,11 @@ Labelled are the pages whose own markup names their content: exactly one ``artic
 
 Elements that are no content by their kind or name (menus, page headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) never give text, inside the region
-or outside it.
+or outside it. Inside an ``article`` or ``main`` only adverts, reader comments and share bars go
+by their name, and only if it says nothing else. Elements that hold an ``article`` or ``main``
+are not dropped for a name of the layout, and an advert or anything left open ends where the
+content begins. Menus, sidebars and groups of comments or related pages that hold articles of
+their own stay out as long as there is other content.
 
 Character references are decoded; white space inside a block becomes one space; blocks are
 trimmed and joined by one space, in page order. Whole pages are read.
@@ -39,13 +43,13 @@ LABELLED_PAGES = 2000
 LABELLED_BYTES = 1 << 16
 
 # Names of HTML elements and of what pages are made of besides content.
-RAW = frozenset("script style noscript template iframe svg textarea select object canvas math".split())
+RAW = frozenset("script style noscript template iframe svg textarea select object canvas annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 DROPPED = frozenset("head nav footer aside form button dialog menu".split())
 CONTENT = frozenset(["article", "main"])
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr math".split()
 )
 NOT_CONTENT = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
@@ -53,6 +57,21 @@ NOT_CONTENT = frozenset(
     "notices notification pagination popup promo promotion related replies reply respond share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising".split())
+#: Groups whose items are often marked up as articles of their own.
+GROUPS = frozenset("comment comments disqus related replies reply respond".split())
+#: Inside the content a name counts if it has one of these words, and else only words of PLACES.
+NAMES_INSIDE = frozenset("ad ads adsbygoogle advert adverts advertisement comments disqus share sharing".split())
+PLACES = frozenset(
+    "area article bar block body bottom box buttons container count entry group holder inline inner left links list "
+    "outer page panel post right row section slot social thread tools top unit widget wrap wrapper".split()
+)
+CONTAINERS = frozenset("div section aside ul ol dl table figure footer header nav center details fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+MATH = frozenset(
+    "maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
 KNOWN_TAGS = frozenset(
     "a article aside b blockquote body br button code dd div dl dt em figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html i img input label li link main meta nav ol p pre section small span strong sub sup table tbody td "
@@ -66,7 +85,7 @@ RESULTS = ["text", "n_chars"]
 
 _OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 _STOP = re.compile(r"[>\"']")
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -138,14 +157,116 @@ def tokens(page: str) -> Iterator[tuple[str, bool, str]]:
             at = close.start()
 
 
-def _is_no_content(name: str, attributes: str) -> bool:
+#: Why an element is dropped: by its kind or as a group of its own, as an advert, by a name of the layout.
+KIND, ADVERT, LAYOUT = 1, 2, 3
+
+
+def _words_of(name: str, attributes: str) -> Iterator[str]:
+    """The words of class, id and role. The id of a heading is an anchor, not a name."""
+    for attribute, *groups in _NAMES.findall(attributes):
+        if attribute.lower() != "id" or name not in HEADINGS:
+            yield from "".join(groups).replace("_", "-").split()
+
+
+def _names_outside(name: str, attributes: str) -> set[str]:
+    """Words of NOT_CONTENT that are a part of a name."""
     if name in CONTENT or name in ("html", "body"):
-        return False
-    for groups in _NAMES.findall(attributes):
-        for word in "".join(groups).replace("_", " ").replace("-", " ").split():
-            if word.lower() in NOT_CONTENT or any(p.lower() in NOT_CONTENT for p in _PARTS.findall(word)):
-                return True
-    return False
+        return set()
+    parts = (p.lower() for w in _words_of(name, attributes) for p in (*w.split("-"), *_PARTS.findall(w)))
+    return NOT_CONTENT.intersection(parts)
+
+
+def _names_inside(name: str, attributes: str) -> set[str]:
+    """Words of NAMES_INSIDE in names that say nothing else."""
+    found = set()
+    if name in CONTAINERS:
+        for word in _words_of(name, attributes):
+            parts = [p.lower() for p in (word.split("-") if word == word.lower() else _PARTS.findall(word))]
+            said = {p for p in parts if p and not p.isdigit()}
+            if said <= NAMES_INSIDE | PLACES:
+                found |= said & NAMES_INSIDE
+    return found
+
+
+def _reason(name: str, attributes: str, inside: bool) -> int:
+    """0 if the element is not dropped."""
+    if name in DROPPED or (name == "header" and not inside):
+        return LAYOUT if name == "form" else KIND
+    if inside and any(a.lower() == "role" and "navigation" in g for a, *g in _NAMES.findall(attributes)):
+        return KIND
+    names = (_names_inside if inside else _names_outside)(name, attributes)
+    if not names:
+        return 0
+    return KIND if names & GROUPS else ADVERT if inside or names & ADVERTS else LAYOUT
+
+
+@dataclass(slots=True, eq=False)
+class _Element:
+    name: str
+    parent: "_Element | None"
+    reason: int
+    #: The innermost article or main around, if no dropped element is between.
+    shown: "_Element | None" = None
+    inside: bool = False
+    closed: bool = False
+    holds: bool = False
+    has_text: bool = False
+    #: Stands in a group that is closed by its own end.
+    grouped: bool = False
+    drop: bool = False
+    #: Dropped only up to the first article or main in it.
+    ends: bool = False
+
+
+def _elements(found: list[tuple[str, bool, str]]) -> tuple[dict[int, _Element], dict[int, list[_Element]]]:
+    """The elements by the position of their first tag, and those that end at a position.
+
+    The end of an element ends those that were opened inside it; an end without a beginning is
+    ignored. An open paragraph ends where the next block begins.
+    """
+    opened: dict[int, _Element] = {}
+    ended: dict[int, list[_Element]] = {}
+    stack: list[_Element] = []
+    names: Counter = Counter()
+    for at, (name, closing, rest) in enumerate(found):
+        if not name:
+            if stack and stack[-1].shown and not rest.isspace():
+                stack[-1].shown.has_text = True
+        elif closing:
+            gone = ended[at] = []
+            while names[name]:
+                gone.append(stack.pop())
+                names[gone[-1].name] -= 1
+                if gone[-1].name == name:
+                    gone[-1].closed = True
+                    break
+        elif name not in VOID and name not in RAW and not rest.endswith("/"):
+            if name not in INLINE and stack and stack[-1].name == "p":
+                ended[at] = [stack.pop()]
+                names["p"] -= 1
+                ended[at][0].closed = True
+            parent = stack[-1] if stack else None
+            inside = parent is not None and (parent.inside or parent.name in CONTENT)
+            one = opened[at] = _Element(name, parent, _reason(name, rest, inside), inside=inside)
+            if name in CONTENT:
+                one.shown = one
+                around = parent
+                while around is not None and not around.holds:
+                    around.holds = True
+                    around = around.parent
+            elif not one.reason and parent is not None:
+                one.shown = parent.shown
+            stack.append(one)
+            names[name] += 1
+    for one in opened.values():
+        one.grouped = (one.parent is not None and one.parent.grouped) or (one.reason == KIND and one.closed)
+    other = any(one.has_text and not one.grouped for one in opened.values())
+    for one in opened.values():
+        one.drop = bool(one.reason)
+        if one.holds:
+            one.drop = bool(one.reason) and not (one.reason == LAYOUT and one.closed)
+            one.ends = not (one.reason == KIND and one.closed and other)
+    return opened, ended
 
 
 def items(page: str, every_tag: bool = False) -> Iterator[tuple[str, str, bool]]:
@@ -153,36 +274,30 @@ def items(page: str, every_tag: bool = False) -> Iterator[tuple[str, str, bool]]
 
     Of an element that is no content its own two tags are given, and nothing in between
     unless ``every_tag``.
-    Open elements are kept on a stack. The end of an element ends those that were opened
-    inside it; an end without a beginning is ignored.
     """
-    stack: list[tuple[str, bool]] = []
-    dropped = content = 0
-    for name, closing, rest in tokens(page):
+    found = list(tokens(page))
+    opened, ended = _elements(found)
+    dropped: list[_Element] = []
+    content = 0
+    for at, (name, closing, rest) in enumerate(found):
         if not name:
             if not dropped:
                 yield "", rest, content > 0
             continue
-        hidden = dropped
-        if closing:
-            if any(open_name == name for open_name, _ in reversed(stack)):
-                while True:
-                    last, was_dropped = stack.pop()
-                    dropped -= was_dropped
-                    content -= last in CONTENT
-                    if last == name:
-                        break
-        elif name not in VOID and name not in RAW and not rest.endswith("/"):
-            if name in ("body", *CONTENT):
-                # An unfinished head, menu or page header does not reach into the content.
-                while stack and stack[-1][1] and stack[-1][0] in ("head", "nav", "header"):
-                    dropped -= stack.pop()[1]
-            # An open paragraph ends where the next block begins.
-            if name not in INLINE and stack and stack[-1][0] == "p":
-                dropped -= stack.pop()[1]
-            drop = name in DROPPED or (name == "header" and not content) or _is_no_content(name, rest)
-            stack.append((name, drop))
-            dropped += drop
+        hidden = bool(dropped)
+        for one in ended.get(at, ()):
+            content -= one.name in CONTENT
+            if dropped and dropped[-1] is one:
+                dropped.pop()
+        one = opened.get(at)
+        if one is not None:
+            if name in CONTENT:
+                dropped = [d for d in dropped if not d.ends]
+            elif name == "body":
+                # An unfinished head, menu or page header does not reach into the page.
+                dropped = [d for d in dropped if d.closed or d.name not in ("head", "nav", "header")]
+            if one.drop:
+                dropped.append(one)
             content += name in CONTENT
         if every_tag or not (hidden and dropped):
             yield name, "", content > 0

@@ -79,3 +79,36 @@ def test_weights_come_from_labelled_pages(spark):
     found = extract.fit(frame)
     assert found.word > 0 > found.tags["p"] > found.tags["li"]
     assert extract.count_kinds("<article>a</article><article>b</article>") is None
+
+
+WORDS = "one two three four five six"
+
+
+@pytest.mark.parametrize("page,want", [
+    # Names of chapters.
+    (f"<article><p>{WORDS}</p><section id='discussion'><h2 id='related-work'>Related</h2><p>{WORDS}</p></section></article>", f"{WORDS} Related {WORDS}"),
+    (f"<main><div class='notice'>{WORDS}</div><p class='disclaimer'>{WORDS}</p><div id='ad-hoc-networks'>{WORDS}</div></main>", f"{WORDS} {WORDS} {WORDS}"),
+    (f"<article><div class='market-share'>{WORDS}</div><span class='comments'>seven</span></article>", f"{WORDS} seven"),
+    (f"<h2 id='discussion'>Title</h2><p>{WORDS}</p>", f"Title {WORDS}"),
+    # Names of the layout.
+    (f"<div class='layout has-sidebar'><div class='sidebar'>no</div><article>{WORDS}</article></div>", WORDS),
+    (f"<form id='aspnetForm'><div class='with-banner'><main>{WORDS}</main></div></form>", WORDS),
+    (f"<main><div class='has-sidebar'><article>{WORDS}</article></div></main>", WORDS),
+    # Left open before the content.
+    (f"<div class='ad'>buy<article>{WORDS}</article>", WORDS),
+    (f"<body><div class='ad'>buy<article>{WORDS}</article></body>", WORDS),
+    (f"<aside>menu<main><p>{WORDS}</p></main>", WORDS),
+    (f"<div><div class='ad'>buy<article>{WORDS}</article></div>", WORDS),
+    (f"<main><aside>x<article>{WORDS}</article></main>", WORDS),
+    # Still no content.
+    (f"<article><p>{WORDS}</p><div class='ad-slot'>buy</div><div class='social-share'>x</div><div class='shareBar'>y</div><p>{WORDS}</p></article>", f"{WORDS} {WORDS}"),
+    (f"<main><article><p>{WORDS}</p></article><section id='comments'><article class='comment'>first {WORDS}</article></section></main>", WORDS),
+    (f"<main><p>{WORDS}</p><div class='comments-area'><article>first {WORDS}</article></div></main>", WORDS),
+    (f"<article>{WORDS}</article><aside><article>card {WORDS}</article></aside>", WORDS),
+    (f"<article>{WORDS}</article><div class='related-posts'><article>card {WORDS}</article></div>", WORDS),
+    (f"<aside><article>{WORDS}</article></aside>", WORDS),
+    # Formulas.
+    ("<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>", "where x = 2 holds"),
+])
+def test_names_inside_and_around_the_content(page, want):
+    assert extract.main_text(page, extract.Weights(1.0, {}, -0.02)) == want
