@@ -2,7 +2,8 @@
 
 A page is read as a sequence of words and tags. Words score positive and tags negative; one
 linear scan finds the contiguous run with the largest sum, the content region. The weights are
-log ratios of how often a word or tag stands inside and outside the content of labelled pages.
+log ratios of how often a word or tag stands inside and outside the content of labelled pages,
+counted over what is scored: dropped elements are gaps, inline tags are neutral.
 Labelled are the pages whose own markup names their content: exactly one ``article`` or
 ``main`` element. At most ``LABELLED_PAGES`` of them are counted, chosen by a hash of the page.
 
@@ -47,6 +48,8 @@ RAW = frozenset("script style noscript template iframe svg textarea select objec
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 DROPPED = frozenset("head nav footer aside form button dialog menu".split())
 CONTENT = frozenset(["article", "main"])
+#: Instead of the tags of a dropped element.
+GAP, OUT = "#gap", "#out"
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr math".split()
@@ -80,6 +83,8 @@ KNOWN_TAGS = frozenset(
 #: Bounds of the learned weights: a word always adds, a tag always costs.
 WORD_BOUNDS = (0.2, 3.0)
 TAG_BOUNDS = (-3.0, -0.02)
+#: A known tag that no labelled page shows where text is scored: less than a word for both its tags.
+UNSEEN = -0.05
 
 RESULTS = ["text", "n_chars"]
 
@@ -98,22 +103,28 @@ class Weights:
     other: float = -1.0
 
     def of(self, tag: str) -> float:
-        """A script or the like says nothing about the text around it, so it costs the least."""
-        return TAG_BOUNDS[1] if tag in RAW else self.tags.get(kind_of(tag), self.other)
+        """Inline tags are neutral. A script or a gap says nothing about the text around it, so it costs the least."""
+        if tag in INLINE or tag in MATH:
+            return 0.0
+        return TAG_BOUNDS[1] if tag in RAW or tag == GAP else self.tags.get(kind_of(tag), self.other)
 
     @classmethod
     def of_counts(cls, inside: dict[str, int], outside: dict[str, int]) -> "Weights":
-        """Log ratios of the shares, with one more count for each kind. Words are counted as "#"."""
-        kinds = set(inside) | set(outside)
-        if not sum(inside.values()) or not sum(outside.values()):
+        """Log ratios of the shares. Words are counted as "#". One more count of each kind is
+        spread over inside and outside as all counts are, so that a rare kind is near neutral."""
+        total_in, total_out = sum(inside.values()), sum(outside.values())
+        if not total_in or not total_out:
             return cls()
-        total_in, total_out = sum(inside.values()) + len(kinds), sum(outside.values()) + len(kinds)
+        part = total_in / (total_in + total_out)
 
         def ratio(kind: str, bounds: tuple[float, float]) -> float:
-            score = math.log((inside.get(kind, 0) + 1) / total_in) - math.log((outside.get(kind, 0) + 1) / total_out)
+            score = math.log((inside.get(kind, 0) + part) / total_in)
+            score -= math.log((outside.get(kind, 0) + 1 - part) / total_out)
             return min(max(score, bounds[0]), bounds[1])
 
-        return cls(ratio("#", WORD_BOUNDS), {k: ratio(k, TAG_BOUNDS) for k in sorted(kinds - {"#"})})
+        seen = (set(inside) | set(outside)) - {"#"}
+        tags = {**dict.fromkeys(KNOWN_TAGS, UNSEEN), **{k: ratio(k, TAG_BOUNDS) for k in seen}}
+        return cls(ratio("#", WORD_BOUNDS), dict(sorted(tags.items())), tags.get("other", UNSEEN))
 
 
 def tokens(page: str) -> Iterator[tuple[str, bool, str]]:
@@ -269,11 +280,11 @@ def _elements(found: list[tuple[str, bool, str]]) -> tuple[dict[int, _Element],
     return opened, ended
 
 
-def items(page: str, every_tag: bool = False) -> Iterator[tuple[str, str, bool]]:
+def items(page: str) -> Iterator[tuple[str, str, bool]]:
     """(tag, text, in_content): the tags, and the texts that may be content, in page order.
 
-    Of an element that is no content its own two tags are given, and nothing in between
-    unless ``every_tag``.
+    An element that is no content is given as its two ends alone, named ``GAP`` inside the
+    content and ``OUT`` elsewhere.
     """
     found = list(tokens(page))
     opened, ended = _elements(found)
@@ -284,7 +295,7 @@ def items(page: str, every_tag: bool = False) -> Iterator[tuple[str, str, bool]]
             if not dropped:
                 yield "", rest, content > 0
             continue
-        hidden = bool(dropped)
+        hidden, gap = bool(dropped), GAP if content else OUT
         for one in ended.get(at, ()):
             content -= one.name in CONTENT
             if dropped and dropped[-1] is one:
@@ -299,25 +310,25 @@ def items(page: str, every_tag: bool = False) -> Iterator[tuple[str, str, bool]]
             if one.drop:
                 dropped.append(one)
             content += name in CONTENT
-        if every_tag or not (hidden and dropped):
-            yield name, "", content > 0
+        if not (hidden and dropped):
+            yield gap if (hidden or dropped) and name not in CONTENT else name, "", content > 0
 
 
 def kind_of(name: str) -> str:
-    return name if name in KNOWN_TAGS else "other"
+    return name if name in KNOWN_TAGS or name == OUT else "other"
 
 
 def count_kinds(page: str) -> tuple[Counter, Counter] | None:
-    """Words ("#") and tags inside and outside the content of a labelled page."""
+    """Words ("#") and tags inside and outside the content of a labelled page, as they are scored."""
     inside, outside, regions = Counter(), Counter(), 0
     was_inside = False
-    for name, text, in_content in items(page, every_tag=True):
+    for name, text, in_content in items(page):
         regions += in_content and not was_inside
         was_inside = in_content
-        (inside if in_content else outside)[kind_of(name) if name else "#"] += 1 if name else len(text.split())
-    # Texts of dropped elements are outside too.
-    words = sum(len(t.split()) for name, _, t in tokens(page) if not name)
-    outside["#"] += words - inside["#"] - outside["#"]
+        if not name:
+            (inside if in_content else outside)["#"] += len(text.split())
+        elif not (name in INLINE or name in MATH or name in RAW or name == GAP):
+            (inside if in_content else outside)[kind_of(name)] += 1
     return (inside, outside) if regions == 1 else None
 
 

@@ -112,3 +112,35 @@ WORDS = "one two three four five six"
 ])
 def test_names_inside_and_around_the_content(page, want):
     assert extract.main_text(page, extract.Weights(1.0, {}, -0.02)) == want
+
+
+PARTS = [
+    "<ul>" + "<li>short</li>" * 8 + "</ul>", "<ol>" + "<li><a href='/x'>link</a></li>" * 8 + "</ol>",
+    "<table><tr><th>k</th><td>v</td></tr><tr><th>k</th><td>v</td></tr></table>", "<div>a</div>" * 8,
+    "<div><div><div>deep</div></div></div>", "<p><a href='/x'>more</a></p>", "<blockquote>so</blockquote>",
+    "<aside>no</aside><p>short</p>",
+]
+
+
+@pytest.fixture(scope="module")
+def table_weights(spark):
+    return extract.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("part", PARTS)
+@pytest.mark.parametrize("place", ["{0}{1}", "{1}{0}", "{1}{0}{1}", "{0}{1}{0}", "{0}"])
+def test_lists_tables_links_and_divs_of_an_article_stay(table_weights, part, place):
+    inner = place.format(part, f"<p>{WORDS}</p>")
+    page = f"<body><nav><ul><li><a>menu</a></li></ul></nav><div class='ad'>buy</div><article>{inner}</article><footer>foot</footer></body>"
+    want = " ".join(re.sub(r"<[^>]+>", " ", inner.replace("<aside>no</aside>", " ")).split())
+    assert extract.main_text(page, table_weights) == want
+
+
+def test_weights_count_what_is_scored():
+    page = "<nav><ul><li>m</li></ul></nav><div class='ad'>buy</div><article><p>one <b>two</b></p><aside>no</aside></article><footer><div>f</div></footer>"
+    inside, outside = extract.count_kinds(page)
+    assert dict(inside) == {"article": 1, "p": 2, "#": 2}
+    assert dict(outside) == {extract.OUT: 6, "article": 1}
+    found = extract.Weights.of_counts({"#": 100_000, "p": 4_000, "li": 2}, {"div": 500, "#": 5})
+    assert found.tags["li"] == extract.TAG_BOUNDS[1] and found.tags["td"] == extract.UNSEEN
+    assert found.tags["div"] == extract.TAG_BOUNDS[0] and found.of("a") == 0
