@@ -42,6 +42,13 @@ PRESETS: dict[str, dict] = {
     "LightGBM": {"maxIter": 400, "maxDepth": 6, "stepSize": 0.05},
 }
 
+# The ranges to search for boosted trees. Depths 4 to 8 stand for 15 to 255 leaves.
+BOOSTING_SPACE: dict[str, tuple] = {
+    "maxIter": (200, 800, "int"), "maxDepth": (4, 8, "int"), "stepSize": (0.01, 0.2, "log"),
+    "minInstancesPerNode": (5, 100, "int"), "subsamplingRate": (0.5, 1.0, "linear"),
+    "featureSubsetStrategy": (0.5, 1.0, "linear"),
+}
+
 
 def class_weights(df: DataFrame, target: str = C.TARGET) -> DataFrame:
     """(class, n, weight, ratio): balanced weight n / (classes * n_c), and negatives per positive."""
@@ -80,6 +87,9 @@ def estimator(name: str, params: dict, target: str, weight: str | None, seed: in
     if name not in PRESETS:
         raise ValueError(f"unknown model {name!r}; choose from {list(PRESETS)}")
     params = {**PRESETS[name], **params}
+    if "featureSubsetStrategy" in params:
+        # Spark takes a share of the features as text.
+        params["featureSubsetStrategy"] = str(params["featureSubsetStrategy"])
     common = {"featuresCol": "features", "labelCol": target}
     if weight:
         common["weightCol"] = weight

@@ -144,3 +144,22 @@ def test_search_over_ranges_refits_the_best(matrix, spark):
     assert table.count() == 2 and model.numFeatures == len(matrix[0].feature_names())
     with pytest.raises(ValueError):
         G.param_search([L.time_based_split(train, 0.3)], "Logistic Regression", {"C": (1.0, 2.0, "log")}, trials=None)
+
+
+def test_query_searches_boosted_trees_and_scores_the_refit(spark, monkeypatch):
+    from swipelens.plans.queries import QUERIES
+
+    asked, search = [], G.param_search
+
+    def small(splits, name, space, trials, full):
+        asked.append((name, space, trials))
+        space = {**space, "maxIter": [2], "maxDepth": [2]}
+        return search(splits, name, space, trials=2, full=full)
+
+    monkeypatch.setattr(G, "param_search", small)
+    found = QUERIES["param_search"](spark, "/root/testdata/sf0.01").collect()
+    (name, space, trials), = asked
+    assert name == "LightGBM" and trials == 25 and space["stepSize"] == (0.01, 0.2, "log")
+    assert set(space) == {"maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate", "featureSubsetStrategy"}
+    assert found[0]["average_precision"] >= found[1]["average_precision"]
+    assert [r["test_f1"] is not None for r in found] == [True, False]
