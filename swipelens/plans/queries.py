@@ -839,7 +839,7 @@ def _(txn):
 @query("fold_means")
 def _(txn):
     rows = materialize(L.time_series_folds(feature_engineering(txn), 5))
-    results = G.fold_results([L.fold(rows, k) for k in range(1, 6)], ["Logistic Regression", "Random Forest"])
+    results = G.fold_results([L.fold(rows, k) for k in range(1, 6)], list(G.PRESETS))
     return G.fold_summary(results)
 
 

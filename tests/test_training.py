@@ -163,3 +163,18 @@ def test_query_searches_boosted_trees_and_scores_the_refit(spark, monkeypatch):
     assert set(space) == {"maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate", "featureSubsetStrategy"}
     assert found[0]["average_precision"] >= found[1]["average_precision"]
     assert [r["test_f1"] is not None for r in found] == [True, False]
+
+
+def test_query_walks_the_folds_with_all_presets(spark, monkeypatch):
+    from swipelens.plans.queries import QUERIES
+
+    asked = []
+
+    def stub(folds, names):
+        asked.append((len(folds), names))
+        rows = [(n, *[0.5] * len(G.FOLD_MEASURES)) for n in names]
+        return spark.createDataFrame(rows, ["model", *G.FOLD_MEASURES])
+
+    monkeypatch.setattr(G, "fold_results", stub)
+    found = QUERIES["fold_means"](spark, "/root/testdata/sf0.001").collect()
+    assert asked == [(5, list(G.PRESETS))] and {r["model"] for r in found} == set(G.PRESETS)
