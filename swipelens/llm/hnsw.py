@@ -10,7 +10,9 @@ found and to its own members, by the usual rule that a neighbour must be nearer
 than to a neighbour already chosen. Searches advance many queries at once, one step each.
 
 Queries go to every shard in blocks, and the best of all shards are merged by the exact score:
-the cosine of the original vectors in double precision. Shards, blocks and so tasks have a
+the cosine of the original vectors in double precision. The graph is searched in single
+precision; all that a search finds is scored exactly, and where what it finds is too alike for
+single precision to tell, all points of the shard are. Shards, blocks and so tasks have a
 bounded size; more rows mean more of them.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components take no
@@ -42,6 +44,10 @@ BLOCK_ROWS = 2048
 #: Points that are inserted, or queries that are advanced, together.
 BATCH = 256
 
+#: Single-precision cosines within ``ALIKE`` may be in any order; double ones within ``CLOSE`` too.
+ALIKE = 4e-6
+CLOSE = 1e-12
+
 INDEX = "dim INT, shard BIGINT, n INT, vectors BINARY, ids BINARY, id_ends BINARY, levels BINARY, graph BINARY"
 FOUND = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
 
@@ -194,10 +200,26 @@ def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.array([float(np.dot(query, r)) / (norm * math.sqrt(float(np.dot(r, r)))) for r in rows])
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def _unit(vectors: np.ndarray, kind: type = np.float32) -> np.ndarray:
     # Scaled first, so that no square overflows or vanishes.
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
+    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(kind)
+
+
+def _best(query: np.ndarray, units: np.ndarray, found: np.ndarray, scores: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` points nearest to a unit vector in double precision, and all that tie with the last.
+
+    ``found`` and ``scores`` are what the graph gave. If the last of them is as near as the one at
+    place ``most``, others in the shard may be as well.
+    """
+    if np.isfinite(scores[-1]) and len(scores) < len(units) and scores[-1] >= scores[most - 1] - ALIKE:
+        found, exact = np.arange(len(units)), units @ query
+    else:
+        found = found[np.isfinite(scores)]
+        exact = units[found] @ query
+    if len(found) > most:
+        found = found[exact >= np.partition(exact, -most)[-most] - CLOSE]
+    return found
 
 
 def usable(df: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -270,12 +292,15 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARC
         out = []
         if len(shard) and len(block):
             graph, vectors, ids = _load(shard.iloc[0])
+            units = _unit(vectors, np.float64)
             wanted = np.stack(block["vector"].to_list())
             for at in range(0, len(block), BATCH):
                 some = wanted[at:at + BATCH]
                 found, scores = graph.search(_unit(some), max(beam, k + 1))
-                for query, vector, near, score in zip(block["query_id"].iloc[at:at + BATCH], some, found, scores):
-                    near = near[np.isfinite(score)][:k + 1]
+                for query, vector, unit, near, score in zip(
+                    block["query_id"].iloc[at:at + BATCH], some, _unit(some, np.float64), found, scores
+                ):
+                    near = _best(unit, units, near, score, k + 1)
                     exact = cosines(vector, vectors[near])
                     pairs = [(-s, int(i)) for s, p in zip(exact, near) for i in ids[p] if i != query]
                     out += [(query, i, -s) for s, i in sorted(pairs)[:k]]

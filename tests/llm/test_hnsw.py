@@ -78,3 +78,29 @@ def test_graph_is_flat_and_reaches_all():
         used = rows[rows >= 0]
         assert (graph.levels[used] >= level).all()
         assert all(len(set(r[r >= 0])) == (r >= 0).sum() and i not in r for i, r in enumerate(rows))
+
+
+@pytest.mark.parametrize("noise", [1e-3, 1e-5])
+def test_recall_with_a_group_of_near_copies_over_full_shards(spark, noise):
+    draw = np.random.default_rng(5)
+    size = 3 * hnsw.SHARD_ROWS
+    vectors = draw.normal(size=(size, 12))
+    near = draw.permutation(size)[:size // 3]
+    vectors[near] = vectors[near[0]] + noise * draw.normal(size=(len(near), 12))
+    vectors = vectors.astype(np.float32)
+    # Multiples of one vector: exact ties, or one unit of the last place apart.
+    line = np.setdiff1d(np.arange(size), near)[:600:3]
+    vectors[line] = vectors[line[0]] * np.arange(1, len(line) + 1, dtype=np.float32)[:, None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id BIGINT, embedding ARRAY<FLOAT>")
+    got = listed(hnsw.nearest(frame))
+    exact = vectors.astype(float)
+    unit = exact / np.linalg.norm(exact, axis=1, keepdims=True)
+    hits = {True: [], False: []}
+    for q, found in got.items():
+        rough = unit @ unit[q]
+        rough[q] = -np.inf
+        least = np.partition(rough, -5)[-5] - 1e-12
+        want = sorted((-hnsw.cosines(exact[q], exact[[i]])[0], int(i)) for i in np.flatnonzero(rough >= least))[:5]
+        hits[q in near or q in line] += [(-s, i) in want for i, s in found]
+    assert len(got) == -(-size // 50) and all(len(f) == 5 for f in got.values())
+    assert np.mean(hits[True]) == 1 and np.mean(hits[False]) >= 0.97
