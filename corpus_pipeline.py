@@ -37,9 +37,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
-    encoded = bpe.encode(docs, TOKENIZER)
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of every document that is left, and the SHA-256 of the text they decode to."""
+    decoded = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    return decoded.select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [

@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import defaultdict
 
@@ -87,3 +88,15 @@ def test_empty_table(spark):
     for _, function in P.STAGES:
         docs = function(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_last_stage_decodes_its_ids(spark):
+    texts = ["plain words go here", "naïve façade, 北京 &  two  spaces\n\ttabs", "", None]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found = {r["doc_id"]: r for r in P.encode(spark, docs, SF).collect()}
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        want = library.decode(library.encode(text or "", add_special_tokens=False).ids, skip_special_tokens=False)
+        assert found[i]["decoded_sha256"] == hashlib.sha256(want.encode()).hexdigest()
