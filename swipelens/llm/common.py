@@ -47,3 +47,14 @@ def words(text: Column | str) -> Column:
     """Maximal runs of characters that are not white space; none for null."""
     body = F.btrim(whole(text), F.lit(GAP_CHARS))
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, GAP))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be no column of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from swipelens.llm import host_rules, mixing
+from swipelens.llm import divergence, host_rules, mixing
 from swipelens.llm.secret_scan import BASE_RULES, RULES, Rule
 from swipelens.llm.warc import REVISIT_BYTES
 
@@ -131,6 +131,53 @@ SELECT doc_id, size, source_size, target,
 FROM p"""
 
 
+def source_divergence() -> str:
+    """Every group's share of every kept term, and sums over all of them (unique doc_id)."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    share = f"1 + (CAST({{}} AS HUGEINT) + 2) * {divergence.SCALE} // ({{}} + 2 * v)"
+    f = "(p - q) * (p - q) // (p + q)"
+    ranked = "row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)"
+    return f"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS t FROM documents
+),
+tokens AS (
+    SELECT doc_id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+),
+kept AS (SELECT lang, term FROM tokens GROUP BY ALL HAVING count(DISTINCT doc_id) >= {divergence.MIN_DOCS}),
+counts AS (SELECT lang, source, term, count(*) AS c FROM tokens JOIN kept USING (lang, term) GROUP BY ALL),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+cells AS (
+    SELECT lang, source, term, coalesce(c, 0) AS c, v, CAST(sum(coalesce(c, 0)) OVER (PARTITION BY lang, source) AS HUGEINT) AS n
+    FROM (SELECT DISTINCT lang, source FROM d) JOIN kept USING (lang) JOIN vocabulary USING (lang)
+    LEFT JOIN counts USING (lang, source, term)
+),
+shares AS (SELECT *, {share.format('c', 'n')} AS p FROM cells),
+whole AS (
+    SELECT lang, term, {share.format('sum(c)', 'CAST(any_value(all_n) AS HUGEINT)')} AS q
+    FROM (SELECT *, sum(c) OVER (PARTITION BY lang) AS all_n FROM cells) GROUP BY lang, term, v
+),
+sums AS (
+    SELECT lang, source, item, sum({f}) AS value
+    FROM shares JOIN (SELECT lang, term, source AS item, p AS q FROM shares) o USING (lang, term)
+    WHERE source <> item GROUP BY ALL
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b
+      ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+terms AS (
+    SELECT lang, source, term AS item, CAST({f} AS BIGINT) AS value
+    FROM shares JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, CAST({ranked} AS INT) AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, CAST({ranked} AS INT) FROM terms QUALIFY {ranked} <= {divergence.TOP}"""
+
+
 ORACLE: dict[str, str] = {
     "op5_host_quality": f"""
 WITH {document_metrics('documents')}
@@ -143,4 +190,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha1(coalesce(html, '')) AS digest,
              max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)""",
     "op9_mixing": mixture(),
+    "op11_divergence": source_divergence(),
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from swipelens.llm import bpe, chat, extract, hnsw, host_rules, mixing, secret_scan, simhash, warc, wavelet
+from swipelens.llm import (
+    bpe, chat, divergence, extract, hnsw, host_rules, kdshards, mixing, secret_scan, simhash, spelling, warc, wavelet,
+)
 from swipelens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +64,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdshards.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_hnsw": op2_hnsw,
@@ -73,4 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
+    "op11_divergence": op11_divergence,
+    "op12_kd_shards": op12_kd_shards,
+    "op13_spelling": op13_spelling,
 }
