@@ -6,9 +6,10 @@ whose right part ends at some place can be undone only by an earlier merge that
 off the right end of that part, and that merge in turn only by a still earlier one on its own
 right. Ranks fall along such a chain, so its longest total length is found in rank order.
 
-Words are read in pieces. Tokens are emitted once they are stable, and the buffer keeps the
-rest, so memory does not grow with the length of a word or text. Within a task the result of
-a word is remembered, in tables of bounded size.
+Every word runs through the transducer: tokens are emitted once they are stable or the word
+ends, and the buffer keeps the rest, so memory does not grow with the length of a word or text.
+At a word's end the transducer is where it began, so what it emits for a word can be remembered:
+tasks do so in tables of bounded bytes. Ids are decoded one by one by the state machine.
 
 The tokenizer file names the normalizer, the splitting pattern and the merges. For words of
 Latin letters the common normalizer and pattern are applied here; every other word, and every
@@ -26,19 +27,25 @@ import hashlib
 import heapq
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from bisect import bisect_left
-from collections import deque
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from swipelens.llm.common import ship, whole
+from swipelens.llm.common import free_names, ship, whole
 
-#: Entries per generation that a task remembers in each table.
-REMEMBERED = 300_000
+#: Bytes per generation that a task remembers in each table.
+REMEMBERED_BYTES = 24 << 20
+#: Token ids per batch that a task hands on.
+BATCH_IDS = 1 << 20
 #: Symbols read at once from a long word, and characters from a long text.
 STEP = 512
 CHUNK = 1 << 16
@@ -184,23 +191,28 @@ class MergeList:
 class Remembered(dict):
     """Results of the keys seen lately: those of this generation and of the one before.
 
-    Those of very long keys are not kept.
+    A generation ends when its entries take ``REMEMBERED_BYTES``. Those of very long keys are
+    not kept.
     """
 
     def __init__(self, compute):
         super().__init__()
-        self.compute, self.before = compute, {}
+        self.compute, self.before, self.held = compute, {}, 0
 
     def __missing__(self, key):
         if len(key) > STEP:
             return self.compute(key)
-        if len(self) >= REMEMBERED:
-            self.before = dict(self)
+        if self.held >= REMEMBERED_BYTES:
+            self.before, self.held = dict(self), 0
             self.clear()
         value = self.before.get(key)
         if value is None:
             value = self.compute(key)
         self[key] = value
+        # Two words for the slot of the table, which is at least a third empty, and its hash.
+        self.held += sys.getsizeof(key) + sys.getsizeof(value) + 48
+        if isinstance(value, tuple):
+            self.held += sum(map(sys.getsizeof, value))
         return value
 
 
@@ -230,14 +242,6 @@ class IncrementalDecoder:
         raw = bytes(BYTE_OF_SYMBOL[c] for c in body if c in BYTE_OF_SYMBOL)
         return self.utf8.decode(raw + (b" " if ends else b""))
 
-    def feed_all(self, ids: list[int]) -> str:
-        """The same for several ids at once."""
-        if not self.joined:
-            return "".join(map(self.feed, ids))
-        before, self.started = self.started, self.started or bool(ids)
-        text = " ".join([self.tokens[i] for i in ids])
-        return " " + text if before and ids else text
-
     def finish(self) -> str:
         return self.utf8.decode(b"", True)
 
@@ -306,14 +310,11 @@ class Codec:
             .replace(r"[\p{L}]", f"[{letters}]").replace(r"[\p{N}]", f"[{digits}]")
         )
 
-    def symbol_ids(self, word: str) -> list[int]:
-        """Ids of one word of the model, spelled in its symbols."""
-        if len(word) > STEP:
-            return list(self.merges.stream(word, self.lengths))
-        vocab, last = self.merges.vocab, word[-1:] + self.suffix
-        return self.merges.merge([vocab[c] for c in (*word[:-1], last) if c in vocab])
+    def symbol_ids(self, word: str) -> array:
+        """Ids of one word of the model, spelled in its symbols: the transducer from word to word."""
+        return array("i", self.merges.stream(word, self.lengths))
 
-    def latin_ids(self, word: str) -> list[int]:
+    def latin_ids(self, word: str) -> array:
         return self.symbol_ids(in_symbols(word))
 
     def is_latin(self, text: str) -> bool:
@@ -343,7 +344,8 @@ class Codec:
                 stop = min(end, at + CHUNK)
                 if self.latin is None:
                     stop = end
-                while stop < end and not text[stop].isspace():
+                # Where the library sees white space, no word goes on.
+                while stop < end and (not text[stop].isspace() or text[stop] in NOT_SPACE):
                     stop += 1
                 chunk, at = text[at:stop], stop
                 if self.is_latin(chunk):
@@ -355,13 +357,15 @@ class Codec:
                 yield self.added[hit[0]]
                 at = hit.end()
 
-    def encode(self, text: str) -> Iterator[int]:
+    def encode(self, text: str) -> array:
+        found = array("i")
         for piece in self.pieces(text):
             if isinstance(piece, int):
-                yield piece
+                found.append(piece)
             else:
                 for ids in map(self.ids_of[piece[0]].__getitem__, piece[1]):
-                    yield from ids
+                    found.extend(ids)
+        return found
 
     def decoder(self) -> IncrementalDecoder:
         return IncrementalDecoder(self.tokens, self.suffix, self.special_ids, self.joined)
@@ -372,10 +376,20 @@ class Codec:
         yield machine.finish()
 
     def text_of(self, ids: Iterable[int]) -> str:
-        machine = self.decoder()
-        return machine.feed_all(list(ids)) + machine.finish()
-
-    def summarize(self, ids: list[int]) -> tuple[int, bytes, bytes]:
+        return "".join(self.decode(ids))
+
+    def digest_of(self, ids: Iterable[int]) -> str:
+        """SHA-256 of the decoded text, taken in as the decoder gives it out."""
+        digest, pieces = hashlib.sha256(), []
+        for piece in self.decode(ids):
+            pieces.append(piece)
+            if len(pieces) >= CHUNK:
+                digest.update("".join(pieces).encode())
+                pieces.clear()
+        digest.update("".join(pieces).encode())
+        return digest.hexdigest()
+
+    def summarize(self, ids: array) -> tuple[int, bytes, bytes]:
         """Number of ids, the ids as decimals, and their text."""
         return len(ids), " ".join(map(str, ids)).encode(), self.text_of(ids).encode()
 
@@ -386,13 +400,13 @@ class Codec:
         so the digests are fed piece by piece.
         """
         if not self.joined:
-            ids = list(self.encode(text))
-            listed, decoded = " ".join(map(str, ids)).encode(), self.text_of(ids).encode()
-            return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+            ids = self.encode(text)
+            listed = " ".join(map(str, ids)).encode()
+            return len(ids), hashlib.sha256(listed).hexdigest(), self.digest_of(ids)
         total, listed, decoded, between = 0, hashlib.sha256(), hashlib.sha256(), b""
         for piece in self.pieces(text):
             if isinstance(piece, int):
-                found = [self.summarize([piece])]
+                found = [self.summarize(array("i", [piece]))]
             else:
                 found = map(self.summary_of[piece[0]].__getitem__, piece[1])
             # A word without any token that the vocabulary knows leaves no trace.
@@ -420,7 +434,7 @@ def encode(df: DataFrame, path: str, text: str = "text", name: str = "ids") -> D
     @F.pandas_udf("array<int>")
     def of(texts: pd.Series) -> pd.Series:
         codec = Codec.of(spec.value)
-        return pd.Series([list(codec.encode(t)) for t in texts], dtype=object)
+        return pd.Series([np.frombuffer(codec.encode(t), np.int32) for t in texts], dtype=object)
 
     return df.withColumn(name, of(whole(text)))
 
@@ -438,6 +452,48 @@ def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") ->
     return df.withColumn(name, of(F.col(ids)))
 
 
+def transcode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Replace the text by ``n_tokens``, its ``ids``, and the SHA-256 of what they decode to.
+
+    One pass, no shuffle. Ids leave a task in batches of about ``BATCH_IDS``, the decoded text
+    not at all.
+    """
+    ship(df.sparkSession)
+    spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
+    made = T.StructType.fromDDL("n_tokens BIGINT, ids ARRAY<INT>, decoded_sha256 STRING").fields
+    replaced = {text.lower(), *(f.name.lower() for f in made)}
+    kept = [c for c in df.columns if c.lower() not in replaced]
+    body = free_names(df, "body")[0]
+    schema = T.StructType([*[df.schema[c] for c in kept], *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec.of(spec.value)
+
+        def record(rows: pa.RecordBatch, found: list[array], digests: list[str]) -> pa.RecordBatch:
+            ends = np.cumsum([0, *map(len, found)])
+            ids = np.frombuffer(b"".join(map(memoryview, found)), np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+            columns = [rows.column(i) for i in range(len(kept))]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(np.diff(ends), pa.int64()), lists, pa.array(digests, pa.string())],
+                [*kept, *[f.name for f in made]],
+            )
+
+        for batch in batches:
+            texts, first, found, digests, held = batch.column(len(kept)), 0, [], [], 0
+            for at in range(batch.num_rows):
+                found.append(codec.encode(texts[at].as_py()))
+                digests.append(codec.digest_of(found[-1]))
+                held += len(found[-1])
+                if held >= BATCH_IDS:
+                    yield record(batch.slice(first, len(found)), found, digests)
+                    first, found, digests, held = at + 1, [], [], 0
+            if found:
+                yield record(batch.slice(first), found, digests)
+
+    return df.select(*[F.col(f"`{c}`") for c in kept], whole(text).alias(body)).mapInArrow(run, schema)
+
+
 def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``. One pass, no shuffle."""
     ship(df.sparkSession)
@@ -448,5 +504,6 @@ def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         codec = Codec.of(spec.value)
         return pd.DataFrame(list(map(codec.digests, texts)), columns=RESULTS)
 
-    kept = [c for c in df.columns if c not in (*RESULTS, "_d")]
-    return df.select(*kept, of(whole(text)).alias("_d")).select(*kept, *[f"_d.{c}" for c in RESULTS])
+    kept = [c for c in df.columns if c not in RESULTS]
+    (found,) = free_names(df, "found")
+    return df.select(*kept, of(whole(text)).alias(found)).select(*kept, *[f"{found}.{c}" for c in RESULTS])

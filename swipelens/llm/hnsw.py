@@ -194,10 +194,23 @@ class Graph:
         return ids, sims
 
 
+#: Vectors with components between 2 to the minus this and 2 to this are taken as they are.
+SAFE_POWER = 400
+
+
 def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Dot product over the product of the norms, in double precision, one row at a time."""
+    """Dot product over the product of the norms, in double precision, one row at a time.
+
+    A vector whose squares may overflow or vanish is scaled by a power of two first, which changes
+    no other score.
+    """
+    def safe(vector: np.ndarray) -> np.ndarray:
+        power = int(np.frexp(np.abs(vector).max())[1])
+        return vector if abs(power) < SAFE_POWER else np.ldexp(vector, -power)
+
+    query = safe(query)
     norm = math.sqrt(float(np.dot(query, query)))
-    return np.array([float(np.dot(query, r)) / (norm * math.sqrt(float(np.dot(r, r)))) for r in rows])
+    return np.array([float(np.dot(query, r)) / (norm * math.sqrt(float(np.dot(r, r)))) for r in map(safe, rows)])
 
 
 def _unit(vectors: np.ndarray, kind: type = np.float32) -> np.ndarray:

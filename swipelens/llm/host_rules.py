@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipelens.llm.common import GAP_CHARS, whole, words
+from swipelens.llm.common import GAP_CHARS, free_names, whole, words
 from swipelens.session import materialize
 from swipelens.sizing import broadcast_if_small
 
@@ -44,8 +44,10 @@ def document_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     kept = [c for c in df.columns if c not in (*METRICS, "base_failed")]
     body = whole(text)
     lines = F.filter(F.split(body, "\n"), lambda line: F.btrim(line, F.lit(GAP_CHARS)) != "")
+    # Packed, so that no column of the input meets a name in here.
+    doc = "_doc"
     step = df.select(
-        *kept,
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias(doc),
         words(text).alias("_words"),
         lines.alias("_lines"),
         (F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -58,7 +60,7 @@ def document_metrics(df: DataFrame, text: str = "text") -> DataFrame:
         ),
     ).otherwise(F.array().cast("array<bigint>"))
     step = step.select(
-        *kept, "n_symbols",
+        doc, "n_symbols",
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -85,7 +87,7 @@ def document_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    return step.select(*kept, *METRICS, failed.alias("base_failed"))
+    return step.select(f"{doc}.*", *METRICS, failed.alias("base_failed"))
 
 
 @dataclass(frozen=True)
@@ -141,14 +143,14 @@ def quality_rules(
     broadcast only below a counted bound; beyond it both sides are shuffled and Spark
     splits a host that holds much of the table.
     """
-    measured = document_metrics(df, text)
+    measured = document_metrics(df, text).drop("host_rate", "kept")
     if not keep_text:
         measured = measured.drop(text)
     measured = materialize(measured)
+    key, rejected = free_names(measured, "host", "host_rejected")
     verdicts = broadcast_if_small(
-        host_verdicts(measured, host, max_rate).select("_host", "host_rate", "host_rejected")
+        host_verdicts(measured, host, max_rate).select(F.col("_host").alias(key), "host_rate", F.col("host_rejected").alias(rejected))
     )
-    measured = measured.drop("host_rate", "kept")
-    judged = measured.join(verdicts, measured[host] == verdicts["_host"], "left")
-    kept = ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))
-    return judged.withColumn("kept", kept).drop("_host", "host_rejected")
+    judged = measured.join(verdicts, measured[host] == verdicts[key], "left")
+    kept = ~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))
+    return judged.withColumn("kept", kept).drop(key, rejected)

@@ -39,6 +39,8 @@ LAW = "bytes"
 BINS = 1 << 12
 PIECE_BYTES = 32 << 20
 SEED = 42
+#: Texts lie on disk twice, as staged rows and in the shards.
+CODEC = "zstd"
 RESULTS = ["size", "shard", "slot"]
 
 
@@ -162,7 +164,9 @@ def _grow(df: DataFrame, dims: tuple[str, ...], id_col: str, text: str, n_shards
         F.monotonically_increasing_id().alias("row"),
         *[F.col(f"`{d}`").alias(f"m{i}") for i, d in enumerate(dims)],
     )
-    staged = materialize(packed)
+    path = new_path(df.sparkSession)
+    packed.write.option("compression", CODEC).parquet(path)
+    staged = df.sparkSession.read.schema(packed.schema).parquet(path)
     total = staged.agg(F.sum("size")).first()[0] or 0
     if n_shards is None:
         if not target_bytes:
@@ -206,7 +210,7 @@ def write_shards(
     out = placed.select(
         *[F.col(f"doc.`{c}`") for c in kept], "size", (F.col("first") + F.col("at")).alias("slot"), "shard"
     )
-    out.write.partitionBy("shard").parquet(folder)
+    out.write.option("compression", CODEC).partitionBy("shard").parquet(folder)
     return read_shards(df.sparkSession, folder, out.schema)
 
 

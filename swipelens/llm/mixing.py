@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipelens.llm.common import GAP, GAP_CHARS, words
+from swipelens.llm.common import free_names, words
 from swipelens.operators.ordering import running_totals, with_position
 from swipelens.session import materialize
 from swipelens.sizing import broadcast_if_small
@@ -80,14 +80,15 @@ def mix(
     The rows are written once with size, key and row number, without the text unless
     ``keep_text``. Only (source, key, row number, size) is sorted.
     """
-    kept = [c for c in df.columns if c not in (*RESULTS, _KEY, _ROW)]
-    sized = df.select(
-        *kept, F.size(words(text)).cast("bigint").alias("size"), hash_key(id_col, seed).alias(_KEY),
-        F.monotonically_increasing_id().alias(_ROW),
-    )
-    sized = materialize(sized if keep_text else sized.drop(text))
+    dropped = {*RESULTS, *(() if keep_text else (text,))}
+    # Packed, so that no column of the input meets a name in here.
+    sized = materialize(df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in dropped]).alias("_doc"),
+        F.col(f"`{source}`").alias("_from"), F.size(words(text)).cast("bigint").alias("size"),
+        hash_key(id_col, seed).alias(_KEY), F.monotonically_increasing_id().alias(_ROW),
+    ))
     per_source = materialize(
-        sized.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
+        sized.groupBy(F.col("_from").alias("source")).agg(F.sum("size").alias("source_size"))
     )
     aimed = materialize(targets(per_source, weights, share, most))
     # Words of all sources that come earlier in the order of the sort.
@@ -101,7 +102,7 @@ def mix(
             (budget - F.col("_passes") * F.col("source_size")).alias("_rest"),
         )
     )
-    narrow = sized.where("size > 0").select(F.col(source).alias("_s"), _KEY, _ROW, "size")
+    narrow = sized.where("size > 0").select(F.col("_from").alias("_s"), _KEY, _ROW, "size")
     summed = running_totals(narrow, [F.col("_s").isNull(), "_s", _KEY, _ROW], {"_through": "size"})
     here = F.col("_s").eqNullSafe(F.col("_source"))
     before = F.col("_through") - F.col("size") - F.col("_start")
@@ -122,24 +123,21 @@ def mix(
         .when(place < cut, F.col("size")).otherwise(F.col("_cut.words"))
     )
     return (
-        sized.join(decided, F.col(source).eqNullSafe(F.col("_source")))
+        sized.join(decided, F.col("_from").eqNullSafe(F.col("_source")))
         .withColumn("taken", F.col("_passes") * F.col("size") + F.when(F.col("size") > 0, last_pass).otherwise(0))
-        .select(*[c for c in sized.columns if c not in (_KEY, _ROW)], "source_size", "target", "taken")
+        .select("_doc.*", *RESULTS)
     )
 
 
-def head(text: Column, n: Column) -> Column:
-    """The text up to its n-th word, with its white space as it is."""
-    pieces = F.split(F.ltrim(text, F.lit(GAP_CHARS)), rf"(?<={GAP[:-1]})(?=[^{GAP[1:-2]}])")
-    return F.rtrim(F.array_join(F.slice(pieces, 1, n), ""), F.lit(GAP_CHARS))
-
+def expand(mixed: DataFrame) -> DataFrame:
+    """One row per pass that takes a document.
 
-def expand(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """One row per pass that takes a document; where a budget ends inside one, its first words."""
-    copies = F.col("_pass") < F.floor(F.col("taken") / F.col("size"))
+    Documents come whole: the one in which a budget ends is taken once more or not, whichever is
+    nearer to the budget.
+    """
+    (step,) = free_names(mixed, "pass")
+    passes = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))
     return (
-        mixed.where("taken > 0")
-        .withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("taken") - 1) / F.col("size")))))
-        .withColumn(text, F.when(copies, F.col(text)).otherwise(head(F.col(text), (F.col("taken") % F.col("size")).cast("int"))))
-        .drop("_pass")
+        mixed.where("taken > 0").withColumn(step, passes).where(F.col(step) > 0)
+        .withColumn(step, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(step)))).drop(step)
     )

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipelens.llm.common import whole
+from swipelens.llm.common import free_names, whole
 from swipelens.llm.trigrams import ANY, trigram_query
 from swipelens.session import materialize
 from swipelens.sizing import broadcast_if_small
@@ -155,10 +155,11 @@ def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     candidates are below a counted bound; beyond it texts and candidates are joined by key.
     """
     empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
-    chosen = broadcast_if_small(materialize(candidates(postings(df, rules, text), rules)))
+    key, named = free_names(df, _KEY, "_rules")
+    chosen = broadcast_if_small(materialize(candidates(postings(df, rules, text), rules).toDF(key, named)))
     always = full_scans(rules)
-    keyed = df.drop("found", _KEY, "_rules").withColumn(_KEY, F.xxhash64(whole(text))).join(chosen, _KEY, "left")
-    mask = F.coalesce("_rules", F.lit(0).cast("bigint")).bitwiseOR(F.lit(always))
+    keyed = df.drop("found").withColumn(key, F.xxhash64(whole(text))).join(chosen, key, "left")
+    mask = F.coalesce(named, F.lit(0).cast("bigint")).bitwiseOR(F.lit(always))
     body = whole(text)
     spans = [
         F.when(
@@ -166,7 +167,7 @@ def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
         ).otherwise(empty)
         for i, rule in enumerate(rules)
     ]
-    return keyed.withColumn("found", F.array_sort(F.concat(*spans))).drop(_KEY, "_rules")
+    return keyed.withColumn("found", F.array_sort(F.concat(*spans))).drop(key, named)
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -204,10 +205,10 @@ def redact(found: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
             )
         ),
     )
-    step = found.withColumn("_merged", F.when(F.size("found") > 0, merged))
+    (step,) = free_names(found, "merged")
     clean = F.concat(
-        F.col("_merged.out"), F.substring(F.col(text), F.col("_merged.at") + 1, F.length(F.col(text)))
-    )
-    return step.withColumn(text, F.when(F.col("_merged").isNull(), F.col(text)).otherwise(clean)).drop(
-        "found", "_merged"
+        F.col(f"{step}.out"), F.substring(F.col(text), F.col(f"{step}.at") + 1, F.length(F.col(text)))
     )
+    return found.withColumn(step, F.when(F.size("found") > 0, merged)).withColumn(
+        text, F.when(F.col(step).isNull(), F.col(text)).otherwise(clean)
+    ).drop("found", step)

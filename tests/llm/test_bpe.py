@@ -44,6 +44,36 @@ def test_odd_texts_equal_the_library(codec, library):
         assert codec.digests(text) == digests(library, text), repr(text)
 
 
+@pytest.mark.parametrize("space", ["\x1c", "\x1d", "\x1e", "\x1f", " ", "\x85", "\xa0", "\u2028", "\u3000", "\u180e", "\u200b"])
+def test_long_texts_are_cut_where_the_library_parts_words(codec, library, space):
+    for tail in ("a!" + space + "!!! b", "a" + space + "bc " + space + "!" + space, "'" + space + "s it's" + space * 3):
+        for short in (0, 1, 2):
+            text = "a " * (bpe.CHUNK // 2 - short) + tail
+            assert list(codec.encode(text)) == library.encode(text, add_special_tokens=False).ids
+            assert codec.digests(text) == digests(library, text)
+
+
+def test_tables_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 10_000)
+    table = bpe.Remembered(lambda key: (len(key), key.encode()))
+    for i in range(2_000):
+        assert table[f"word {i}"] == (len(f"word {i}"), f"word {i}".encode())
+        assert table.held < 11_000 and len(table) + len(table.before) < 200
+
+
+def test_transcode_equals_the_library(spark, library, monkeypatch):
+    texts = [*ODD, None, "long " * 3000]
+    rows = [(i, t, "en", "x", "y") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, ids STRING, body STRING").repartition(2)
+    found = bpe.transcode(frame, PATH)
+    assert found.columns == ["doc_id", "lang", "body", "n_tokens", "ids", "decoded_sha256"]
+    for r in found.collect():
+        want = library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["ids"] == want and r["n_tokens"] == len(want) and r["body"] == "y"
+        assert r["decoded_sha256"] == digests(library, texts[r["doc_id"]])[2]
+    assert bpe.transcode(frame.limit(0), PATH).count() == 0
+
+
 def test_query_equals_the_library(spark, library):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = bpe.digests(frame, PATH).collect()

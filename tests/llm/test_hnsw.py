@@ -20,6 +20,14 @@ def brute(rows, k=5, every=50):
     return out
 
 
+@pytest.mark.parametrize("small", [1e-300, 1e-200, 1e-160, 1.0, 1e160, 1e200, 1e300])
+def test_cosines_of_tiny_and_huge_vectors(small):
+    query, row = np.array([small, 0.0]), np.array([1.0, 1.0])
+    assert hnsw.cosines(query, row[None])[0] == pytest.approx(0.5 ** 0.5, rel=1e-15)
+    assert hnsw.cosines(row, query[None])[0] == pytest.approx(0.5 ** 0.5, rel=1e-15)
+    assert hnsw.cosines(query, np.array([[small, small], [0.0, small]])).tolist() == pytest.approx([0.5 ** 0.5, 0.0])
+
+
 def listed(found):
     out = {}
     for r in sorted(found.collect(), key=lambda r: (r["query_id"], r["rank"])):

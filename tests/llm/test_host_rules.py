@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 from collections import Counter
 
 import pytest
@@ -45,6 +46,17 @@ def test_clashing_columns_and_repeated_rows(spark):
     assert sorted(str(r["n"]) for r in out) == ["7", "7", "None"]
 
 
+def test_inner_names_pass_through(spark):
+    inner = sorted(set(re.findall(r'"(_\w+)"', Path(host_rules.__file__).read_text())) | {"host", "host_rejected", "h", "i"})
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(i, good if i % 3 else "bad", f"h{i % 2}", 0, "") for i in range(12)], SCHEMA)
+    wide = rows.withColumns({n: F.lit("x") for n in inner})
+    out = host_rules.quality_rules(wide)
+    assert out.where(" or ".join(f"{n} <> 'x'" for n in inner)).count() == 0
+    plain = host_rules.quality_rules(rows)
+    assert sorted(map(tuple, out.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_a_failing_host_takes_its_documents_along(spark):
     good = " ".join(f"w{i}" for i in range(60))
     rows = [(i, "short" if i % 10 else good, "bad", 0, "") for i in range(200)]

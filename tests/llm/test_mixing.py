@@ -1,6 +1,7 @@
 import math
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,15 +68,29 @@ def test_hot_source_nulls_ties_and_clashes(spark):
     check(found)
 
 
-def test_expand_repeats_and_cuts(spark):
-    rows = [(i, f"a{i}  b\nc", f"s{i % 2}", 0, "") for i in range(20)]
+def test_expand_takes_whole_documents(spark):
+    rows = [(i, f"a{i}  b\nc" * (1 + i % 3), f"s{i % 2}", 0, "") for i in range(20)]
     mixed = mixing.mix(spark.createDataFrame(rows, SCHEMA), keep_text=True)
-    taken = {r["doc_id"]: r["taken"] for r in mixed.collect()}
+    known = {r["doc_id"]: (r["text"], r["taken"], r["size"]) for r in mixed.collect()}
     found = defaultdict(int)
     for r in mixing.expand(mixed).collect():
-        assert f"a{r['doc_id']}  b\nc".startswith(r["text"])
-        found[r["doc_id"]] += n_words(r["text"])
-    assert dict(found) == {i: t for i, t in taken.items() if t}
+        assert r["text"] == known[r["doc_id"]][0]
+        found[r["doc_id"]] += 1
+    # Half of a document or more counts as one.
+    assert dict(found) == {i: n for i, (_, t, s) in known.items() if (n := (2 * t + s) // (2 * s))}
+    total = sum(found[i] * s for i, (_, _, s) in known.items())
+    assert abs(total - sum(t for _, t, _ in known.values())) <= 2 * max(s for _, _, s in known.values())
+
+
+def test_inner_names_pass_through(spark):
+    inner = sorted({c for c in re.findall(r'"(_\w+)"', Path(mixing.__file__).read_text())} | {"source_size", "weight", "pass"})
+    rows = spark.createDataFrame([(i, "a b c " * (i % 4), f"s{i % 3}", 0, "") for i in range(30)], SCHEMA)
+    more = rows.withColumns({n: F.lit("x") for n in inner if n not in rows.columns})
+    plain, wide = mixing.mix(rows, keep_text=True), mixing.mix(more, keep_text=True)
+    assert sorted(map(tuple, wide.select(*plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    kept = [n for n in inner if n not in mixing.RESULTS]
+    assert set(kept) <= set(wide.columns) and wide.where(" or ".join(f"{n} <> 'x'" for n in kept)).count() == 0
+    assert set(kept) <= set(mixing.expand(wide).columns)
 
 
 def test_targets_with_many_caps(spark):

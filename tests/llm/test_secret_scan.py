@@ -1,7 +1,9 @@
+from pathlib import Path
 import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from swipelens.llm import secret_scan
 from swipelens.llm.trigrams import ANY, trigram_query
@@ -74,6 +76,16 @@ def test_redaction(spark):
     assert got == {i: redacted(t) if t else t for i, t in enumerate(CASES)}
 
 
+def test_inner_names_pass_through(spark):
+    inner = sorted(set(re.findall(r'"(_\w+)"', Path(secret_scan.__file__).read_text())) | {"merged", "rules"})
+    frame = spark.createDataFrame([(i, t, 1, 1) for i, t in enumerate(CASES)], SCHEMA)
+    found = secret_scan.scan(frame.withColumns({n: F.lit("x") for n in inner}))
+    check(secret_scan.report(found).collect())
+    clean = secret_scan.redact(found)
+    assert clean.where(" or ".join(f"{n} <> 'x'" for n in inner)).count() == 0
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == {i: redacted(t) if t else t for i, t in enumerate(CASES)}
+
+
 def test_empty_table(spark):
     assert secret_scan.report(secret_scan.scan(spark.createDataFrame([], SCHEMA))).count() == 0
 
