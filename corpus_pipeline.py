@@ -31,18 +31,14 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or cut the sources to their budgets; a document that is taken twice comes twice."""
+    """Repeat or thin the sources to their budgets in whole documents; one taken twice comes twice."""
     mixed = mixing.expand(mixing.mix(docs, keep_text=True))
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, and the SHA-256 of the text they decode to."""
-    decoded = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
-    return decoded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.transcode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER)
 
 
 STAGES = [
