@@ -5,20 +5,21 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from swipelens import config as C
+from swipelens.operators.boosting import (
+    Binned, BoostedTreesModel, BoostParams, bin_edges, bin_rows, fit as fit_boosted,
+)
 from swipelens.operators.encoders import FeatureEncoder
 from swipelens.operators.metrics import (
     best_by, classification_metrics, evaluate_scores, fold_means, rank_metrics,
@@ -29,25 +30,34 @@ from swipelens.session import materialize
 WEIGHT = "weight"
 STRATEGIES = ("class_weight", "undersample")
 
-# The five presets. Depth 30 is Spark's deepest tree and stands for no limit;
-# depth 6 is the shallowest tree with at least 63 leaves.
+# The five presets, and with them what the libraries behind the last two assume.
+# Depth 30 is the deepest tree of Spark's forest and stands for no limit.
 PRESETS: dict[str, dict] = {
     "Logistic Regression": {"maxIter": 1000, "C": 1.0, "elasticNetParam": 0.0},
     "Random Forest": {"numTrees": 300, "maxDepth": 30, "featureSubsetStrategy": "sqrt"},
-    "Gradient Boosted Trees": {"maxIter": 200, "maxDepth": 3, "stepSize": 0.1},
+    "Gradient Boosted Trees": {"maxIter": 200, "maxDepth": 3, "stepSize": 0.1, "minInstancesPerNode": 1},
     "XGBoost": {
-        "maxIter": 400, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
+        "maxIter": 400, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureFraction": 0.8,
+        "regLambda": 1.0, "minHessian": 1.0, "minInstancesPerNode": 1,
     },
-    "LightGBM": {"maxIter": 400, "maxDepth": 6, "stepSize": 0.05},
+    "LightGBM": {"maxIter": 400, "stepSize": 0.05, "numLeaves": 63, "minInstancesPerNode": 20, "minHessian": 1e-3},
 }
 
-# The ranges to search for boosted trees. Depths 4 to 8 stand for 15 to 255 leaves.
+# The ranges to search for boosted trees.
 BOOSTING_SPACE: dict[str, tuple] = {
-    "maxIter": (200, 800, "int"), "maxDepth": (4, 8, "int"), "stepSize": (0.01, 0.2, "log"),
-    "minInstancesPerNode": (5, 100, "int"), "subsamplingRate": (0.5, 1.0, "linear"),
-    "featureSubsetStrategy": (0.5, 1.0, "linear"),
+    "maxIter": (200, 800, "int"), "numLeaves": (15, 255, "int"), "stepSize": (0.01, 0.2, "log"),
+    "minInstancesPerNode": (5, 100, "int"), "featureFraction": (0.5, 1.0, "linear"),
+    "subsamplingRate": (0.5, 1.0, "linear"), "baggingFreq": (1, 7, "int"),
+    "regAlpha": (1e-8, 10.0, "log"), "regLambda": (1e-8, 10.0, "log"),
 }
+# End of fixed values.
+
+#: Presets that are grown on bins.
+BOOSTED = ("Gradient Boosted Trees", "XGBoost", "LightGBM")
+#: Bytes of a matrix per partition: iterations over a small one should not wait for many tasks.
+MATRIX_BYTES = 16 << 20
+#: Models or trials, and folds, that are fitted at a time; their tasks share the slots.
+AT_ONCE, FOLDS_AT_ONCE = 8, 2
 
 
 def class_weights(df: DataFrame, target: str = C.TARGET) -> DataFrame:
@@ -63,7 +73,7 @@ def class_weights(df: DataFrame, target: str = C.TARGET) -> DataFrame:
     )
 
 
-def _counts(df: DataFrame, target: str) -> tuple[int, int]:
+def class_counts(df: DataFrame, target: str = C.TARGET) -> tuple[int, int]:
     row = df.agg(F.count_if(F.col(target) == 1).alias("p"), F.count_if(F.col(target) == 0).alias("n")).first()
     return row["p"], row["n"]
 
@@ -78,14 +88,12 @@ def _weights(pos: int, neg: int, positives_only: bool) -> tuple[float, float]:
 
 def weight_column(df: DataFrame, target: str = C.TARGET, positives_only: bool = False) -> Column:
     """Row weight: balanced per class, or negatives per positive on the positives alone."""
-    negative, positive = _weights(*_counts(df, target), positives_only)
+    negative, positive = _weights(*class_counts(df, target), positives_only)
     return F.when(F.col(target) == 1, F.lit(positive)).otherwise(F.lit(negative))
 
 
 def estimator(name: str, params: dict, target: str, weight: str | None, seed: int, weight_sum: float):
-    """The Spark ML estimator of a named preset, with overrides."""
-    if name not in PRESETS:
-        raise ValueError(f"unknown model {name!r}; choose from {list(PRESETS)}")
+    """The Spark ML estimator of a preset that is not boosted, with overrides."""
     params = {**PRESETS[name], **params}
     if "featureSubsetStrategy" in params:
         # Spark takes a share of the features as text.
@@ -97,23 +105,44 @@ def estimator(name: str, params: dict, target: str, weight: str | None, seed: in
         # Spark's loss is a weighted mean and the wanted one a sum, hence the division.
         strength = 1.0 / (max(weight_sum, 1.0) * params.pop("C"))
         return LogisticRegression(**common, **params, regParam=strength, standardization=False)
-    if name == "Random Forest":
-        return RandomForestClassifier(**common, **params, seed=seed)
-    return GBTClassifier(**common, **params, seed=seed)
+    return RandomForestClassifier(**common, **params, seed=seed)
+
+
+def _known(name: str) -> None:
+    if name not in PRESETS:
+        raise ValueError(f"unknown model {name!r}; choose from {list(PRESETS)}")
+
+
+def matrix(df: DataFrame, target: str = C.TARGET) -> DataFrame:
+    """(features, target) written in as many partitions as its counted bytes ask for."""
+    rows = df.select("features", target)
+    size = rows.agg(F.sum(F.size(vector_to_array("features")).cast("bigint") * 8)).first()[0] or 0
+    parts = max(1, -(-size // MATRIX_BYTES))
+    return materialize(rows.coalesce(1) if parts == 1 else rows.repartition(parts))
+
+
+def binned(df: DataFrame, target: str = C.TARGET) -> Binned:
+    """The bins of a matrix, for any number of boosted fits."""
+    return bin_rows(df, bin_edges(df), target)
 
 
 def train(
     df: DataFrame, name: str, target: str = C.TARGET, strategy: str = "class_weight",
-    seed: int = C.SEED, **params,
+    seed: int = C.SEED, bins: Binned | None = None, counts: tuple[int, int] | None = None, **params,
 ) -> Model:
-    """Fit one preset on (features, target). Overrides are Spark ML parameters, or ``C``."""
+    """Fit one preset on (features, target). Overrides are the parameters of the preset's kind.
+
+    ``bins`` and ``counts`` (positives, negatives) are given where several fits share them.
+    """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose from {STRATEGIES}")
-    if name not in PRESETS:
-        raise ValueError(f"unknown model {name!r}; choose from {list(PRESETS)}")
+    _known(name)
     weighted = strategy == "class_weight"
-    pos, neg = _counts(df, target)
+    pos, neg = counts or class_counts(df, target)
     negative, positive = _weights(pos, neg, name == "XGBoost") if weighted else (1.0, 1.0)
+    if name in BOOSTED:
+        settings = BoostParams.of({**PRESETS[name], **params}, seed)
+        return fit_boosted(bins or binned(df, target), settings, (negative, positive))
     rows = df.select("features", target)
     if weighted:
         rows = rows.withColumn(WEIGHT, F.when(F.col(target) == 1, F.lit(positive)).otherwise(F.lit(negative)))
@@ -121,22 +150,30 @@ def train(
     return estimator(name, params, target, WEIGHT if weighted else None, seed, total).fit(rows)
 
 
+def together(calls: list[Callable[[], object]], at_once: int = AT_ONCE) -> list:
+    """Results of independent fits, several of them at a time."""
+    if len(calls) == 1:
+        return [calls[0]()]
+    with ThreadPoolExecutor(min(at_once, max(1, len(calls)))) as pool:
+        return list(pool.map(lambda call: call(), calls))
+
+
 def train_all(
     df: DataFrame, names: list[str] | None = None, target: str = C.TARGET,
     strategy: str = "class_weight", seed: int = C.SEED, overrides: dict[str, dict] | None = None,
 ) -> dict[str, Model]:
-    """Fit all presets, or those named, on one cached matrix."""
+    """Fit all presets, or those named, on one written matrix; the boosted ones share its bins."""
     names = list(PRESETS) if names is None else names
-    unknown = [n for n in names if n not in PRESETS]
-    if unknown:
-        raise ValueError(f"unknown models {unknown}; choose from {list(PRESETS)}")
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {
-            n: train(cached, n, target, strategy, seed, **(overrides or {}).get(n, {})) for n in names
-        }
-    finally:
-        cached.unpersist()
+    for name in names:
+        _known(name)
+    rows = matrix(df, target)
+    counts = class_counts(rows, target)
+    bins = binned(rows, target) if set(names) & set(BOOSTED) else None
+
+    def one(name: str) -> Callable[[], Model]:
+        return lambda: train(rows, name, target, strategy, seed, bins, counts, **(overrides or {}).get(name, {}))
+
+    return dict(zip(names, together([one(n) for n in names])))
 
 
 def safe_name(name: str) -> str:
@@ -145,12 +182,20 @@ def safe_name(name: str) -> str:
 
 def save_model(model: Model, name: str, folder: str) -> str:
     path = f"{folder.rstrip('/')}/{safe_name(name)}"
-    PipelineModel(stages=[model]).write().overwrite().save(path)
+    if isinstance(model, BoostedTreesModel):
+        model.save(path)
+    else:
+        PipelineModel(stages=[model]).write().overwrite().save(path)
     return path
 
 
-def load_model(name: str, folder: str) -> PipelineModel:
-    return PipelineModel.load(f"{folder.rstrip('/')}/{safe_name(name)}")
+def load_model(name: str, folder: str) -> Model:
+    path = f"{folder.rstrip('/')}/{safe_name(name)}"
+    spark = SparkSession.getActiveSession()
+    trees = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
+    if trees.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(trees):
+        return BoostedTreesModel.load(spark, path)
+    return PipelineModel.load(path)
 
 
 def score_rows(model: Model, df: DataFrame, target: str = C.TARGET, keep: list[str] | None = None) -> DataFrame:
@@ -260,36 +305,46 @@ def param_search(
     prepared = []
     for fit_rows, held_out in splits:
         fitted = encoder.fit(fit_rows)
-        prepared.append(tuple(
-            fitted.transform(part).persist(StorageLevel.MEMORY_AND_DISK) for part in (fit_rows, held_out)
-        ))
+        rows = matrix(fitted.transform(fit_rows), target)
+        # Trials share the matrix, its class counts and, for boosted trees, its bins.
+        bins = binned(rows, target) if name in BOOSTED else None
+        prepared.append((rows, class_counts(rows, target), bins, materialize(fitted.transform(held_out))))
     ranged = any(isinstance(v, tuple) for v in grid.values())
     if ranged and trials is None:
         raise ValueError("a search over ranges needs a number of trials")
     combos = draw_params(grid, trials, seed) if ranged else sample_grid(grid, trials, seed)
-    results = []
-    try:
-        for number, params in enumerate(combos):
-            found = []
-            for fit_rows, held_out in prepared:
-                scored = score_rows(train(fit_rows, name, target, strategy, seed, **params), held_out, target)
-                # Either measure reads the scores once.
-                if score == "f1":
-                    found.append(classification_metrics(scored, inclusive=False).first()["f1"])
-                else:
-                    found.append(rank_metrics(scored).first()["average_precision"] or 0.0)
-            results.append((number, sum(found) / len(found), *[str(params[k]) for k in grid]))
-    finally:
-        for pair in prepared:
-            for part in pair:
-                part.unpersist()
+    # Boosted settings that differ in rounds only are one fit, cut after as many rounds.
+    alike: dict[tuple, list[int]] = {}
+    for number, params in enumerate(combos):
+        same = tuple(sorted((k, v) for k, v in params.items() if k != "maxIter")) if name in BOOSTED else (number,)
+        alike.setdefault(same, []).append(number)
+
+    def measure(model: Model, held_out: DataFrame) -> float:
+        scored = score_rows(model, held_out, target)
+        # Either measure reads the scores once.
+        if score == "f1":
+            return classification_metrics(scored, inclusive=False).first()["f1"]
+        return rank_metrics(scored).first()["average_precision"] or 0.0
+
+    def try_out(numbers: list[int]) -> list[tuple[int, float]]:
+        longest = max(numbers, key=lambda n: combos[n].get("maxIter", 0))
+        sums = dict.fromkeys(numbers, 0.0)
+        for rows, counts, bins, held_out in prepared:
+            model = train(rows, name, target, strategy, seed, bins, counts, **combos[longest])
+            for number in numbers:
+                cut = model.cut(combos[number]["maxIter"]) if name in BOOSTED and "maxIter" in combos[number] else model
+                sums[number] += measure(cut, held_out)
+        return [(n, s / len(prepared)) for n, s in sums.items()]
+
+    found = dict(r for part in together([lambda n=n: try_out(n) for n in alike.values()]) for r in part)
+    results = [(n, found[n], *[str(p[k]) for k in grid]) for n, p in enumerate(combos)]
     spark = splits[0][0].sparkSession
     schema = ", ".join(["trial INT", f"{score} DOUBLE", *[f"{k} STRING" for k in grid]])
     table = spark.createDataFrame(results, schema).orderBy(F.desc(score), "trial")
     if full is None:
         return table, None
     best = max(results, key=lambda r: (r[1], -r[0]))
-    return table, train(encoder.fit(full).transform(full), name, target, strategy, seed, **combos[best[0]])
+    return table, train(matrix(encoder.fit(full).transform(full), target), name, target, strategy, seed, **combos[best[0]])
 
 
 def fold_results(
@@ -301,14 +356,17 @@ def fold_results(
     A fold whose training rows hold a single class is left out.
     """
     encoder = encoder or FeatureEncoder(target=target)
-    rows = []
-    for number, (fit_rows, held_out) in enumerate(folds, start=1):
-        if 0 in _counts(fit_rows, target):
-            continue
+
+    def one(number: int, fit_rows: DataFrame, held_out: DataFrame) -> DataFrame | None:
+        if 0 in class_counts(fit_rows, target):
+            return None
         fitted = encoder.fit(fit_rows)
         models = train_all(fitted.transform(fit_rows), names, target, seed=seed, overrides=overrides)
-        results = evaluate_all(models, fitted.transform(held_out), target)
-        rows.append(results.withColumn("fold", F.lit(number)))
+        results = evaluate_all(models, materialize(fitted.transform(held_out)), target)
+        return materialize(results.withColumn("fold", F.lit(number)))
+
+    parts = together([lambda n=n, f=f: one(n, *f) for n, f in enumerate(folds, start=1)], FOLDS_AT_ONCE)
+    rows = [p for p in parts if p is not None]
     if not rows:
         raise ValueError("no fold has both classes in its training rows")
     return reduce(DataFrame.unionByName, rows)

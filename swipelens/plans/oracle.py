@@ -273,6 +273,43 @@ def oracle_sql() -> dict[str, str]:
         " from txn where not in_train"
         for m in ("Logistic Regression", "Random Forest", "Gradient Boosted Trees", "XGBoost", "LightGBM")
     )
+    zero = "0::bigint as"
+    q["boosting_check"] = txn + " union all ".join(
+        f"select '{m}' as model, {big(n, 'n_trees')}, {root} as n_root_rows, {zero} n_too_many_leaves, {zero} n_small_leaves,"
+        f" {zero} n_lost_rows from txn where in_train"
+        for m, n, root in (
+            ("Gradient Boosted Trees", 200, "count(*)"), ("XGBoost", 400, "case when count(*) < 0 then 0 end"), ("LightGBM", 400, "count(*)"),
+        )
+    )
+    ranges = [
+        "maxIter", "numLeaves", "stepSize", "minInstancesPerNode", "featureFraction", "subsamplingRate", "baggingFreq",
+        "regAlpha", "regLambda",
+    ]
+    q["search_check"] = (
+        f"select {big(25, 'n_trials')}, {big(25, 'n_different')}, " + ", ".join(f"{zero} n_outside_{k}" for k in ranges)
+        + f", {zero} n_bad_measures, {big(1, 'best_first')}"
+    )
+    q["calibrate_check"] = txn + " union all ".join(
+        f"select '{m}' as method, count(*) as n_rows, {zero} n_out_of_range, {zero} n_falls from txn where not in_train"
+        for m in ("isotonic", "sigmoid")
+    )
+    q["ratio_sweep_check"] = txn + " union all ".join(
+        f"select {k}::double as ratio, {big('sum(is_fraud) filter (in_train)', 'n_positive')},"
+        f" {big(f'least(count(*) filter (in_train and is_fraud = 0), {k} * sum(is_fraud) filter (in_train))', 'n_negative')},"
+        " count(*) filter (not in_train) as n_counted from txn"
+        for k in (1, 5, 10, 20)
+    )
+    q["best_ratios_check"] = " union all ".join(
+        f"select '{m}' as measure, {big(4, 'n_ratios')}, {zero} n_better" for m in ("f1", "g_mean", "pr_auc")
+    )
+    q["best_model_check"] = f"select {big(5, 'n_models')}, {big(1, 'is_best')}"
+    q["importance_check"] = " union all ".join(
+        f"select '{m}' as model, {big(1, 'all_features')}, {zero} n_negative, 1::double as total"
+        for m in ("Random Forest", "Gradient Boosted Trees", "XGBoost", "LightGBM")
+    )
+    q["fold_means_check"] = f"select {big(5, 'n_models')}, " + ", ".join(
+        f"{zero} n_bad_{m}" for m in ("accuracy", "precision", "recall", "f1", "roc_auc")
+    )
     strong = ["amt", "amt_log", "lat", "merch_lat", "long", "merch_long", "city_pop", "city_pop_log"]
     lined = [(a, b) for i, a in enumerate(strong) for b in strong[i + 1:]]
     q["drop_collinear"] = with_(TXN, rows_cte("txn", "rowf"), "links as (" + " union all ".join(
@@ -499,6 +536,30 @@ bounds as (
   select lag, a, 1.959963984540054::double * sqrt((1 + 2 * coalesce(sum(a * a) over (order by lag rows between
     unbounded preceding and 1 preceding), 0)) / size) as h from lags)
 select cast(lag as bigint) as lag, round(a + 1e-9, 6) as acf, round(a - h + 1e-9, 6) as lower, round(a + h + 1e-9, 6) as upper from bounds"""
+    q["kpss_test"] = hourly + """, e as (
+  select row_number() over (order by hour) as i, total - (select avg(total) from hourly) as e from hourly),
+products as (
+  select b.i - a.i as k, sum(a.e * b.e) as c from e a join e b on b.i >= a.i group by 1),
+size as (select count(*) as n, cast(floor(pow(count(*), 2 / 9e0)) as int) as m from e),
+bands as (
+  select n, sum(case when k = 0 then c else 2 * c end) / n as s0, 2 * sum(k * c) / n as s1
+  from products, size where k <= m group by n),
+width as (
+  select n, least(cast(floor(1.1447e0 * pow(pow(s1 / s0, 2), 1 / 3e0) * pow(n, 1 / 3e0)) as bigint), n - 1) as lags from bands),
+spread as (
+  select n, lags, sum(case when k = 0 then c else 2 * c * (1 - k / (lags + 1e0)) end) / n as v
+  from products, width where k <= lags group by n, lags),
+found as (
+  select lags, (select sum(s * s) from (select sum(e) over (order by i) as s from e)) / n / n / v as x from spread),
+p as (
+  select lags, x, case when x <= 0.347 then 0.1 when x <= 0.463 then 0.1 - 0.05 * (x - 0.347) / 0.116
+    when x <= 0.574 then 0.05 - 0.025 * (x - 0.463) / 0.111 when x <= 0.739 then 0.025 - 0.015 * (x - 0.574) / 0.165
+    else 0.01 end::double as p from found)
+""" + (
+        f"select {r('x', 'statistic')}, {r('p', 'p_value')}, cast(lags as bigint) as used_lags, 0.347::double as critical_10,"
+        " 0.463::double as critical_5, 0.574::double as critical_2_5, 0.739::double as critical_1,"
+        " cast(p >= 0.05 as bigint) as is_stationary from p"
+    )
     q["linear_trend"] = hourly + (
         f"select {r('regr_slope(total, x)', 'slope')}, {r('regr_intercept(total, x)', 'intercept')}"
         " from (select total, row_number() over (order by hour) - 1 as x from hourly)"

@@ -19,7 +19,9 @@ from swipelens.operators import quality as Q
 from swipelens.operators import quantiles as N
 from swipelens.operators import series as R
 from swipelens.operators import splits as L
+from swipelens.operators import stationarity as Y
 from swipelens.operators import training as G
+from swipelens.operators.ordering import row_blocks
 from swipelens.plans.features import feature_engineering, history_features, leak_probe, row_features
 from swipelens.session import ON_RELEASE, materialize, new_path, use_utc
 from swipelens.sources import stand_in as SI
@@ -486,6 +488,21 @@ def _(txn):
     return R.autocorrelation(_hourly(txn), ["hour"], "n", block_rows=BLOCK)
 
 
+@query("partial_autocorrelation")
+def _(txn):
+    return Y.partial_autocorrelation(_hourly(txn), ["hour"], "n", block_rows=BLOCK)
+
+
+@query("adf_test")
+def _(txn):
+    return Y.adf_test(_hourly(txn), ["hour"], "total", block_rows=BLOCK)
+
+
+@query("kpss_test")
+def _(txn):
+    return Y.kpss_test(_hourly(txn), ["hour"], "total", block_rows=BLOCK)
+
+
 @query("linear_trend")
 def _(txn):
     return R.linear_trend(_hourly(txn), ["hour"], "total")
@@ -672,9 +689,25 @@ def _encoded(txn: DataFrame) -> tuple[E.FeatureEncoderModel, DataFrame, DataFram
     return _once(txn, "encoded", build)
 
 
+def _matrix(txn: DataFrame) -> tuple:
+    """The training matrix, its class counts and its bins, which all fits share."""
+    def build():
+        rows = G.matrix(_encoded(txn)[1])
+        return rows, G.class_counts(rows), G.binned(rows)
+
+    return _once(txn, "matrix", build)
+
+
 def _model(txn: DataFrame, name: str):
     """A preset at full size, fitted on the training rows."""
-    return _once(txn, name, lambda: G.train(_encoded(txn)[1], name))
+    rows, counts, bins = _matrix(txn)
+    return _once(txn, name, lambda: G.train(rows, name, bins=bins, counts=counts))
+
+
+def _models(txn: DataFrame) -> dict:
+    """All presets; those that are not fitted yet are fitted side by side."""
+    _matrix(txn)
+    return dict(zip(G.PRESETS, G.together([lambda n=n: _model(txn, n) for n in G.PRESETS])))
 
 
 def _scores(txn: DataFrame, name: str) -> DataFrame:
@@ -724,12 +757,14 @@ query("train_lightgbm")(_trained("LightGBM"))
 
 @query("train_all")
 def _(txn):
+    _models(txn)
     return L.union_all(*[_trained(name)(txn) for name in G.PRESETS])
 
 
 @query("train_all_check")
 def _(txn):
     """Per model: scored rows, scores out of range, and what the confusion counts add up to."""
+    _models(txn)
     parts = [
         _scores(txn, name).agg(
             F.lit(name).alias("model"), F.count("score").alias("n_scored"),
@@ -744,15 +779,58 @@ def _(txn):
     return L.union_all(*parts)
 
 
-@query("param_search")
+@query("boosting_check")
 def _(txn):
-    """The trials, best first; beside the best, the measures of its refit on the test rows."""
+    """Per boosted model: trees, the rows of an unsampled root, and trees that break their bounds."""
+    parts = []
+    for name in G.BOOSTED:
+        model = _model(txn, name)
+        nodes, p = txn.sparkSession.createDataFrame(model.nodes), model.settings
+        leaf = F.col("feature") < 0
+        trees = nodes.groupBy("tree").agg(
+            F.sum(leaf.cast("long")).alias("leaves"), F.max(F.when(F.col("node") == 0, F.col("rows"))).alias("root"),
+            F.sum(F.when(leaf, F.col("rows"))).alias("in_leaves"), F.min(F.when(leaf, F.col("rows"))).alias("least"),
+        )
+        parts.append(trees.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_trees"),
+            (F.max("root") if p.subsamplingRate == 1 else F.lit(None).cast("long")).alias("n_root_rows"),
+            F.count_if(F.col("leaves") > p.numLeaves).alias("n_too_many_leaves"),
+            F.count_if(F.col("least") < F.least(F.lit(p.minInstancesPerNode), F.col("root"))).alias("n_small_leaves"),
+            F.count_if(F.col("root") != F.col("in_leaves")).alias("n_lost_rows"),
+        ))
+    return L.union_all(*parts)
+
+
+@query("search_check")
+def _(txn):
+    """Trials, ranges that a draw left, measures out of range, and whether the first trial is the best."""
+    table, _ = _searched(txn)
+    outside = [
+        (F.col(k).cast("double") < low) | (F.col(k).cast("double") > high) for k, (low, high, _) in G.BOOSTING_SPACE.items()
+    ]
+    ap = F.col("average_precision")
+    first = table.orderBy(F.desc("average_precision"), "trial").first()["trial"]
+    return table.agg(
+        F.count(F.lit(1)).alias("n_trials"), F.countDistinct("trial").alias("n_different"),
+        *[F.count_if(o).alias(f"n_outside_{k}") for k, o in zip(G.BOOSTING_SPACE, outside)],
+        F.count_if(ap.isNull() | (ap < 0) | (ap > 1)).alias("n_bad_measures"),
+        (F.max_by("trial", F.struct(ap, -F.col("trial"))) == F.lit(first)).alias("best_first"),
+    )
+
+
+def _searched(txn: DataFrame):
     def build():
         train = materialize(feature_engineering(SI.train_rows(txn)))
         table, model = G.param_search([L.time_based_split(train, 0.2)], "LightGBM", G.BOOSTING_SPACE, trials=25, full=train)
         return materialize(table), model
 
-    table, model = _once(txn, "search", build)
+    return _once(txn, "search", build)
+
+
+@query("param_search")
+def _(txn):
+    """The trials, best first; beside the best, the measures of its refit on the test rows."""
+    table, model = _searched(txn)
     ranked = [F.desc("average_precision"), "trial"]
     refit = M.evaluate_scores(materialize(G.score_rows(model, _encoded(txn)[2])), "LightGBM Tuned").drop("model")
     refit = refit.select(F.lit(table.orderBy(*ranked).first()["trial"]).alias("trial"), *[F.col(c).alias(f"test_{c}") for c in refit.columns])
@@ -781,11 +859,59 @@ def _swept(txn: DataFrame) -> DataFrame:
     return _once(txn, "ratios", build)
 
 
+@query("calibrate_check")
+def _(txn):
+    """Calibrated scores out of range, and pairs of neighbours in score that changed places."""
+    _, train, test = _encoded(txn)
+    model = _model(txn, "Random Forest")
+    scores, held_out = _scores(txn, "Random Forest"), materialize(G.score_rows(model, train))
+    parts = []
+    for method in ("isotonic", "sigmoid"):
+        found = G.calibrate(held_out, method)(scores).select(C.ROW_ID, F.col("score").alias("p"))
+        both = materialize(scores.select(C.ROW_ID, "score").join(found, C.ROW_ID))
+        # Equal scores get equal values, and a larger score no smaller one.
+        levels = both.groupBy("score").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+        spread, window = row_blocks(levels, ["score"], 1, 0)
+        falls = (F.col("before") > F.col("lo") + 1e-12) | (F.col("hi") > F.col("lo") + 1e-12)
+        n_falls = spread.withColumn("before", F.lag("hi").over(window)).where("_own").where(falls).count()
+        parts.append(both.agg(
+            F.lit(method).alias("method"), F.count("p").alias("n_rows"),
+            F.count_if((F.col("p") < 0) | (F.col("p") > 1)).alias("n_out_of_range"), F.lit(n_falls).alias("n_falls"),
+        ))
+    return L.union_all(*parts)
+
+
 @query("ratio_sweep")
 def _(txn):
     return _swept(txn)
 
 
+@query("ratio_sweep_check")
+def _(txn):
+    """Per ratio: rows counted in the confusion table, and rows that the undersampled table has."""
+    _, train, _ = _encoded(txn)
+    kept = [
+        L.balance_data(train, C.TARGET, ratio, C.SEED).agg(
+            F.lit(float(ratio)).alias("ratio"), F.count_if(F.col(C.TARGET) == 1).alias("n_positive"),
+            F.count_if(F.col(C.TARGET) == 0).alias("n_negative"),
+        )
+        for ratio in (1, 5, 10, 20)
+    ]
+    counted = _swept(txn).select("ratio", (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n_counted"))
+    return L.union_all(*kept).join(counted, "ratio")
+
+
+@query("best_ratios_check")
+def _(txn):
+    """Measures for which another ratio beats the one that is called best."""
+    swept, best = _swept(txn), G.best_ratios(_swept(txn))
+    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("other")) for m in ("f1", "g_mean", "pr_auc")]))
+    others = swept.select(cells.alias("_c")).select("_c.*")
+    return best.join(others, "measure").groupBy("measure").agg(
+        F.count(F.lit(1)).alias("n_ratios"), F.count_if(F.col("other") > F.col("value")).alias("n_better")
+    )
+
+
 @query("best_ratios")
 def _(txn):
     return G.best_ratios(_swept(txn))
@@ -836,11 +962,53 @@ def _(txn):
     return M.best_model_summary(results, scores)
 
 
+@query("best_model_check")
+def _(txn):
+    """The summary's model against the largest measure in the table of all models."""
+    scores = {n: _scores(txn, n) for n in _models(txn)}
+    results = materialize(L.union_all(*[M.evaluate_scores(s, n) for n, s in scores.items()]))
+    named = M.best_model_summary(results, scores).first()["model"]
+    return results.agg(
+        F.count(F.lit(1)).alias("n_models"),
+        (F.max(F.when(F.col("model") == named, F.col("pr_auc"))) == F.max("pr_auc")).alias("is_best"),
+    )
+
+
+@query("importance_check")
+def _(txn):
+    """Per model: features, negative importances, and whether those of trees add up to one."""
+    names, parts = _encoded(txn)[0].feature_names(), []
+    for name in ("Random Forest", *G.BOOSTED):
+        table = M.importance_table(txn.sparkSession, names, [v for _, v in G.importances(_model(txn, name), names)], top=None)
+        value = F.col("importance")
+        parts.append(table.agg(
+            F.lit(name).alias("model"), (F.count(F.lit(1)) == len(names)).alias("all_features"),
+            F.count_if(value < 0).alias("n_negative"), F.round(F.sum(value), 6).alias("total"),
+        ))
+    return L.union_all(*parts)
+
+
+@query("fold_means_check")
+def _(txn):
+    """Models in the walk-forward summary, and mean measures out of range."""
+    means = _walked(txn)
+    measures = [c for c in means.columns if c != "model"]
+    bad = [F.count_if(F.col(c).isNull() | (F.col(c) < 0) | (F.col(c) > 1)).alias(f"n_bad_{c}") for c in measures]
+    return means.agg(F.countDistinct("model").alias("n_models"), *bad)
+
+
 @query("fold_means")
 def _(txn):
-    rows = materialize(L.time_series_folds(feature_engineering(txn), 5))
-    results = G.fold_results([L.fold(rows, k) for k in range(1, 6)], list(G.PRESETS))
-    return G.fold_summary(results)
+    return _walked(txn)
+
+
+def _walked(txn: DataFrame) -> DataFrame:
+    def build():
+        rows = materialize(L.time_series_folds(feature_engineering(txn), 5))
+        results = G.fold_results([L.fold(rows, k) for k in range(1, 6)], list(G.PRESETS))
+        return materialize(G.fold_summary(results))
+
+    return _once(txn, "folds", build)
 
 
 @query("importance_table")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Paths handed out by ``new_path`` and not yet deleted, by application.
 _PATHS: dict[str, list[str]] = {}
+#: Applications whose executors have this package.
+_SHIPPED: set[str] = set()
 #: Called when tables are deleted, so that nobody keeps a frame that reads them.
 ON_RELEASE: list[Callable[[], None]] = []
 
@@ -90,3 +95,24 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package once per application, as --py-files would."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    path = f"{shared_folder(spark).rstrip('/')}/swipelens-package-{application}.zip"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(packed.getvalue())
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(application)

@@ -160,7 +160,10 @@ def test_query_searches_boosted_trees_and_scores_the_refit(spark, monkeypatch):
     found = QUERIES["param_search"](spark, "/root/testdata/sf0.01").collect()
     (name, space, trials), = asked
     assert name == "LightGBM" and trials == 25 and space["stepSize"] == (0.01, 0.2, "log")
-    assert set(space) == {"maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate", "featureSubsetStrategy"}
+    assert set(space) == {
+        "maxIter", "numLeaves", "stepSize", "minInstancesPerNode", "featureFraction", "subsamplingRate", "baggingFreq",
+        "regAlpha", "regLambda",
+    }
     assert found[0]["average_precision"] >= found[1]["average_precision"]
     assert [r["test_f1"] is not None for r in found] == [True, False]
 
