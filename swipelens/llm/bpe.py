@@ -42,8 +42,9 @@ from pyspark.sql import types as T
 
 from swipelens.llm.common import free_names, ship, whole
 
-#: Bytes per generation that a task remembers in each table.
+#: Bytes per generation that a task remembers of words' ids, and of words' digests' parts.
 REMEMBERED_BYTES = 24 << 20
+SUMMARY_BYTES = 64 << 20
 #: Token ids per batch that a task hands on.
 BATCH_IDS = 1 << 20
 #: Symbols read at once from a long word, and characters from a long text.
@@ -191,18 +192,17 @@ class MergeList:
 class Remembered(dict):
     """Results of the keys seen lately: those of this generation and of the one before.
 
-    A generation ends when its entries take ``REMEMBERED_BYTES``. Those of very long keys are
-    not kept.
+    A generation ends when its entries take ``limit`` bytes. Those of very long keys are not kept.
     """
 
-    def __init__(self, compute):
+    def __init__(self, compute, limit: int):
         super().__init__()
-        self.compute, self.before, self.held = compute, {}, 0
+        self.compute, self.limit, self.before, self.held = compute, limit, {}, 0
 
     def __missing__(self, key):
         if len(key) > STEP:
             return self.compute(key)
-        if self.held >= REMEMBERED_BYTES:
+        if self.held >= self.limit:
             self.before, self.held = dict(self), 0
             self.clear()
         value = self.before.get(key)
@@ -273,10 +273,12 @@ class Codec:
         self.special_ids = frozenset(added.values())
         self.odd = re.compile(f"[^\x00-{chr(LATIN_END - 1)}]")
         # By spelling: of Latin words as they stand in the text, of others in the model's symbols.
-        self.ids_of = {True: Remembered(self.latin_ids), False: Remembered(self.symbol_ids)}
+        self.ids_of = {
+            True: Remembered(self.latin_ids, REMEMBERED_BYTES), False: Remembered(self.symbol_ids, REMEMBERED_BYTES),
+        }
         self.summary_of = {
-            True: Remembered(lambda w: self.summarize(self.latin_ids(w))),
-            False: Remembered(lambda w: self.summarize(self.symbol_ids(w))),
+            True: Remembered(lambda w: self.summarize(self.latin_ids(w)), SUMMARY_BYTES),
+            False: Remembered(lambda w: self.summarize(self.symbol_ids(w)), SUMMARY_BYTES),
         }
 
     @classmethod

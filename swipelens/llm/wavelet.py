@@ -39,6 +39,10 @@ from swipelens.session import materialize, new_path
 
 SHARD_TOKENS = 1 << 21
 BLOCK = 512
+#: Bytes per generation that a task remembers of runs between white space, and of words.
+RUN_BYTES, WORD_BYTES = 96 << 20, 32 << 20
+#: Marks that are words of their own behind a word.
+MARKS = frozenset(".,;:!?)")
 #: Positions that are looked up together.
 LOOKUP = 1 << 16
 MAGIC = b"SWLWM001"
@@ -204,15 +208,19 @@ class LibraryIds:
         def of(word: str) -> bytes:
             return array("I", [t.id for t in model(word)]).tobytes()
 
-        latin, other = Remembered(lambda word: of(in_symbols(word))), Remembered(of)
+        latin, other = Remembered(lambda word: of(in_symbols(word)), WORD_BYTES), Remembered(of, WORD_BYTES)
 
         split = self.codec.latin.findall if self.codec.latin else None
 
         def run(text: str) -> bytes:
-            words = split(text)
-            return latin[words[0]] if len(words) == 1 else b"".join(map(latin.__getitem__, words))
-
-        self.bytes_of = {True: Remembered(run), False: other}
+            # Letters only are one word; with a mark behind them, two.
+            if text.isalpha():
+                return of(in_symbols(text))
+            if text[-1] in MARKS and text[:-1].isalpha():
+                return latin[text[:-1]] + latin[text[-1]]
+            return b"".join(map(latin.__getitem__, split(text)))
+
+        self.bytes_of = {True: Remembered(run, RUN_BYTES), False: other}
 
     def __call__(self, text: str) -> np.ndarray:
         parts = []

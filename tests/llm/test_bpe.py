@@ -53,9 +53,8 @@ def test_long_texts_are_cut_where_the_library_parts_words(codec, library, space)
             assert codec.digests(text) == digests(library, text)
 
 
-def test_tables_are_bounded_by_bytes(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 10_000)
-    table = bpe.Remembered(lambda key: (len(key), key.encode()))
+def test_tables_are_bounded_by_bytes():
+    table = bpe.Remembered(lambda key: (len(key), key.encode()), 10_000)
     for i in range(2_000):
         assert table[f"word {i}"] == (len(f"word {i}"), f"word {i}".encode())
         assert table.held < 11_000 and len(table) + len(table.before) < 200
