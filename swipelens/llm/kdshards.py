@@ -39,7 +39,7 @@ LAW = "bytes"
 BINS = 1 << 12
 PIECE_BYTES = 32 << 20
 SEED = 42
-#: Texts lie on disk twice, as staged rows and in the shards.
+#: Texts lie on disk twice, as staged rows and in the shards, so they are packed well.
 CODEC = "zstd"
 RESULTS = ["size", "shard", "slot"]
 
