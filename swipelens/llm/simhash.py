@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from swipelens.llm.common import ship
 from swipelens.session import materialize
+from swipelens.sizing import broadcast_if_small
 
 BITS = 64
 SEED = 42
@@ -392,7 +393,7 @@ def keep_one(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def deduplicate(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
-    """``keep_one`` of the near-duplicates, with the columns of ``df``; texts move once.
+    """``keep_one`` of the near-duplicates, with the columns of ``df``; texts move once at most.
 
     Groups and their first rows are found on ids and fingerprints alone.
     """
@@ -402,4 +403,5 @@ def deduplicate(
     narrow = printed.select(id_col, "_fp", ROW_ID)
     marked = narrow.join(group_ids(narrow.select("_fp", id_col), id_col, radius), "_fp")
     chosen = materialize(_first_rows(marked, id_col))
-    return printed.join(chosen, ROW_ID, "left_semi").select(*base.columns)
+    # Below a counted bound the texts stay where they are.
+    return printed.join(broadcast_if_small(chosen), ROW_ID, "left_semi").select(*base.columns)
