@@ -13,7 +13,7 @@ from swipelens import config as C
 from swipelens.operators.quality import value_counts
 from swipelens.operators.quantiles import medians
 from swipelens.session import materialize
-from swipelens.sizing import BROADCAST_ROWS
+from swipelens.sizing import BROADCAST_BYTES, BROADCAST_ROWS
 
 #: A column with more categories than this does not become one 0/1 column each.
 ONE_HOT_LIMIT = 1_000
@@ -24,7 +24,9 @@ class TargetEncoderModel:
 
     def __init__(self, columns: list[str], table: DataFrame, global_mean: float):
         self.columns, self.table, self.global_mean = columns, table, global_mean
-        self._sizes = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        size = F.sum(F.octet_length("value").cast("bigint") + 24)
+        counted = table.groupBy("column").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).collect()
+        self._small = {r["column"] for r in counted if r["n"] <= BROADCAST_ROWS and r["bytes"] <= BROADCAST_BYTES}
 
     def names(self) -> list[str]:
         return [f"{c}_target_enc" for c in self.columns]
@@ -32,14 +34,14 @@ class TargetEncoderModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """Add one encoding per column; an unseen or missing value gets the global mean.
 
-        A column's table is broadcast if its counted size is small; otherwise the lookup is
+        A column's table is broadcast if its counted rows and bytes are few; otherwise the lookup is
         an ordinary join, in which Spark splits hot categories at run time.
         """
         for column, name in zip(self.columns, self.names()):
             lookup = self.table.where(F.col("column") == column).select(
                 F.col("value").alias("_value"), F.col("encoding").alias(name)
             )
-            if self._sizes.get(column, 0) <= BROADCAST_ROWS:
+            if column in self._small:
                 lookup = F.broadcast(lookup)
             df = (
                 df.join(lookup, F.col(column).cast("string") == F.col("_value"), "left")
@@ -90,15 +92,21 @@ def one_hot_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]
     return _categories(materialize(value_counts(df, columns).where("value is not null")), columns)
 
 
+def _few(table: DataFrame, columns: list[str]) -> list[str]:
+    """The columns of a table of (column, value) that have at most ONE_HOT_LIMIT values."""
+    counts = table.where(F.col("column").isin(columns)).groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
+    many = {r["column"] for r in counts if r["n"] > ONE_HOT_LIMIT}
+    return [c for c in columns if c not in many]
+
+
 def _categories(table: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """The same from a table of (column, value)."""
-    found = {}
-    for column in columns:
-        values = table.where(F.col("column") == column).select(F.col("value").alias("v"))
-        rows = values.orderBy("v").limit(ONE_HOT_LIMIT + 1).collect()
-        if len(rows) > ONE_HOT_LIMIT:
-            raise ValueError(f"{column} has over {ONE_HOT_LIMIT} categories: name it in sparse instead")
-        found[column] = [r["v"] for r in rows]
+    """Sorted values of every column from a table of (column, value), in one bounded collect."""
+    few = _few(table, columns)
+    if few != list(columns):
+        raise ValueError(f"{sorted(set(columns) - set(few))}: over {ONE_HOT_LIMIT} categories, name them in sparse instead")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in table.where(F.col("column").isin(columns)).select("column", "value").orderBy("column", "value").collect():
+        found[r["column"]].append(r["value"])
     return found
 
 
@@ -215,8 +223,8 @@ class FeatureEncoderModel(Model):
 class FeatureEncoder(Estimator):
     """Fits all encoders on training rows; usable as a stage of a Spark ML Pipeline.
 
-    Columns in ``onehot`` become one 0/1 column per category, up to ``ONE_HOT_LIMIT``; those in
-    ``sparse`` become one sparse vector each, with any number of categories.
+    Columns in ``onehot`` become one 0/1 column per category; those in ``sparse``, and those with
+    more than ``ONE_HOT_LIMIT`` categories, become one sparse vector each.
     """
 
     def __init__(
@@ -254,10 +262,13 @@ class FeatureEncoder(Estimator):
         onehot, encoded = self.roles["onehot"], self.roles["encoded"]
         both = SmoothedTargetEncoder([*encoded, *[c for c in onehot if c not in encoded]], self.targets.smoothing, self.targets.min_samples_leaf)
         table = materialize(both.statistics(df, self.target, stats[prior][0]))
-        categories = _categories(table, onehot)
+        # Columns with too many categories for one column each become sparse vectors.
+        few = _few(table, onehot)
+        roles = {**self.roles, "onehot": few, "sparse": [*self.roles["sparse"], *[c for c in onehot if c not in few]]}
+        categories = _categories(table, few)
         targets = TargetEncoderModel(encoded, table.where(F.col("column").isin(encoded)), stats[prior][0])
-        sparse = {c: one_hot_vector(df, c, f"{c}_onehot") for c in self.roles["sparse"]}
-        return FeatureEncoderModel(self.roles, numeric, categories, targets, sparse)
+        sparse = {c: one_hot_vector(df, c, f"{c}_onehot") for c in roles["sparse"]}
+        return FeatureEncoderModel(roles, numeric, categories, targets, sparse)
 
 
 def out_of_fold_encode(

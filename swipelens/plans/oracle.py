@@ -302,6 +302,10 @@ def oracle_sql() -> dict[str, str]:
     q["best_ratios_check"] = " union all ".join(
         f"select '{m}' as measure, {big(4, 'n_ratios')}, {zero} n_better" for m in ("f1", "g_mean", "pr_auc")
     )
+    q["attribution_check"] = txn + " union all ".join(
+        f"select '{m}' as model, least(count(*), 500) as n_rows, {zero} n_off, {zero} n_incomplete from txn where not in_train"
+        for m in ("Logistic Regression", "Gradient Boosted Trees", "XGBoost", "LightGBM")
+    )
     q["best_model_check"] = f"select {big(5, 'n_models')}, {big(1, 'is_best')}"
     q["importance_check"] = " union all ".join(
         f"select '{m}' as model, {big(1, 'all_features')}, {zero} n_negative, 1::double as total"

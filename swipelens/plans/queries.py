@@ -14,6 +14,7 @@ from swipelens.operators import encoders as E
 from swipelens.operators import explain as X
 from swipelens.operators import history as H
 from swipelens.operators import metrics as M
+from swipelens.operators import neighbours as K
 from swipelens.operators import profiles as P
 from swipelens.operators import quality as Q
 from swipelens.operators import quantiles as N
@@ -515,6 +516,12 @@ def _(txn):
     return P.mutual_information(rows, numeric, categorical)
 
 
+@query("neighbour_information")
+def _(txn):
+    numeric = [*NUMERIC, "distance_km"]
+    return K.neighbour_information(materialize(row_features(txn).select(C.TARGET, *numeric)), numeric, C.TARGET, block_rows=BLOCK)
+
+
 @query("iqr_outliers", 4)
 def _(txn):
     return P.iqr_summary(txn, C.AMOUNT)
@@ -1022,6 +1029,32 @@ def _(txn):
     fitted, _, test = _encoded(txn)
     names = fitted.feature_names()
     parts = []
-    for name in ("Logistic Regression", "Random Forest"):
+    for name in ("Logistic Regression", "Random Forest", "LightGBM"):
         parts.append(X.attribution(_model(txn, name), test, names, sample=2000).withColumn("model", F.lit(name)))
     return L.union_all(*parts)
+
+
+@query("attribution_check")
+def _(txn):
+    """Per exact model: explained rows, and rows whose contributions do not add up to the margin."""
+    fitted, _, test = _encoded(txn)
+    names, parts = fitted.feature_names(), []
+    for name in ("Logistic Regression", *G.BOOSTED):
+        model = _model(txn, name)
+        raw = model.transform(test).select(C.ROW_ID, G.vector_to_array("rawPrediction")[1].alias("margin"))
+        if name in G.BOOSTED:
+            found, base = X.tree_contributions(model, test, names, sample=500)
+        else:
+            found = X.linear_contributions(model, test, names, sample=500)
+        sums = materialize(
+            found.groupBy(C.ROW_ID).agg(F.sum("contribution").alias("sum"), F.count(F.lit(1)).alias("n")).join(raw, C.ROW_ID)
+        )
+        if name not in G.BOOSTED:
+            # Contributions of the linear model are those beside the mean row of the sample.
+            base = sums.agg(F.avg("margin")).first()[0] or 0.0
+        off = F.abs(F.col("sum") + F.lit(base) - F.col("margin")) > 1e-6 * (1 + F.abs("margin"))
+        parts.append(sums.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("n_off"),
+            F.count_if(F.col("n") != len(names)).alias("n_incomplete"),
+        ))
+    return L.union_all(*parts)

@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -6,6 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from swipelens.operators import boosting as B
+from swipelens.operators import explain as X
 from swipelens.operators import training as G
 from swipelens.session import new_path
 
@@ -165,3 +167,50 @@ def test_unknown_parameters_and_size(spark, small, monkeypatch):
     monkeypatch.setattr(B, "MOST_BYTES", 10)
     with pytest.raises(ValueError, match="more executors"):
         B.fit(G.binned(small[0], "is_fraud"), B.BoostParams.of({}, 1))
+
+
+def expected(model, row, known):
+    """Margin of a row of which only some features are known: unknown splits go both ways by rows."""
+    total = model.start
+    for _, tree in model.nodes.groupby("tree"):
+        tree = tree.set_index("node")
+
+        def walk(at):
+            node = tree.loc[at]
+            if node["feature"] < 0:
+                return node["value"]
+            if node["feature"] in known:
+                return walk(node["left"] if row[int(node["feature"])] <= node["threshold"] else node["right"])
+            left, right = tree.loc[node["left"]], tree.loc[node["right"]]
+            return (left["rows"] * walk(node["left"]) + right["rows"] * walk(node["right"])) / node["rows"]
+
+        total += walk(0)
+    return total
+
+
+def test_contributions_equal_the_sum_over_subsets(spark, small):
+    df, values, _ = small
+    model = B.fit(G.binned(df, "is_fraud"), B.BoostParams.of({"maxIter": 3, "numLeaves": 8, "minInstancesPerNode": 3, "stepSize": 0.5}, 1))
+    paths, n = X.leaf_paths(model), 4
+    assert X.base_margin(model, paths) == pytest.approx(expected(model, values[0], set()))
+    rows = np.array([*values[:3], [float("nan"), 1.0, 0.5, 1.0]])
+    found = X.path_contributions(rows, paths, n)
+    for row, own in zip(rows, found):
+        for j in range(n):
+            others, want = [i for i in range(n) if i != j], 0.0
+            for k in range(n):
+                weight = math.factorial(k) * math.factorial(n - 1 - k) / math.factorial(n)
+                for subset in itertools.combinations(others, k):
+                    want += weight * (expected(model, row, {*subset, j}) - expected(model, row, set(subset)))
+            assert own[j] == pytest.approx(want, abs=1e-9)
+
+
+def test_contributions_add_up_to_the_margin(spark, small):
+    df, values, _ = small
+    model = B.fit(G.binned(df, "is_fraud"), B.BoostParams.of({"maxIter": 20, "minInstancesPerNode": 2}, 1))
+    rows = df.withColumn("trans_num", F.monotonically_increasing_id().cast("string"))
+    parts, base = X.tree_contributions(model, rows, ["a", "b", "c", "d"], sample=50)
+    sums = parts.groupBy("trans_num").agg(F.sum("contribution").alias("s"))
+    margin = model.transform(rows).select("trans_num", G.vector_to_array("rawPrediction")[1].alias("m"))
+    off = sums.join(margin, "trans_num").where(F.abs(F.col("s") + base - F.col("m")) > 1e-9)
+    assert sums.count() == 50 and off.count() == 0

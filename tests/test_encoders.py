@@ -116,3 +116,13 @@ def test_sparse_columns_take_any_number_of_categories(spark):
     assert again.transform(df.limit(1)).first()["features"] == vector
     unseen = fitted.transform(jobs(spark, [("new", "a", 1)])).first()["features"]
     assert unseen.toArray()[1:].sum() == 0.0
+
+
+def test_wide_one_hot_columns_become_sparse(spark, monkeypatch):
+    monkeypatch.setattr(E, "ONE_HOT_LIMIT", 20)
+    df = jobs(spark, [(f"k{i % 40:02d}", "a" if i % 3 else "b", i % 2) for i in range(200)])
+    fitted = E.FeatureEncoder(scaled=[], passthrough=[], onehot=["job"], encoded=[df.columns[1]], target=df.columns[-1], keep=[]).fit(df)
+    assert fitted.roles["onehot"] == [] and fitted.roles["sparse"] == ["job"]
+    assert fitted.feature_names()[1:] == [f"job_k{i:02d}" for i in range(40)]
+    with pytest.raises(ValueError):
+        E.one_hot_categories(df, ["job"])

@@ -34,7 +34,7 @@ def plain(value):
 #: Fits all presets at full size, which takes minutes; the driver runs it.
 LONG = {
     "train_all_check", "boosting_check", "search_check", "calibrate_check", "ratio_sweep_check", "best_ratios_check",
-    "best_model_check", "importance_check", "fold_means_check",
+    "best_model_check", "importance_check", "fold_means_check", "attribution_check",
 }
 
 
