@@ -7,13 +7,20 @@ counted over what is scored: dropped elements are gaps, inline tags are neutral.
 Labelled are the pages whose own markup names their content: exactly one ``article`` or
 ``main`` element. At most ``LABELLED_PAGES`` of them are counted, chosen by a hash of the page.
 
+Names are evidence as well. For every tag with a class, id or role word the labelled pages tell
+how many words it holds inside and outside the content; where most are outside, words of such an
+element score negative on every page, listed name or not. Where a page marks its content and most
+of its words are in there, the words around it score negative too. The scan decides on both.
+
 Elements that are no content by their kind or name (menus, page headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) never give text, inside the region
 or outside it. Inside an ``article`` or ``main`` only adverts, reader comments and share bars go
 by their name, and only if it says nothing else. Elements that hold an ``article`` or ``main``
 are not dropped for a name of the layout, and an advert or anything left open ends where the
 content begins. Menus, sidebars and groups of comments or related pages that hold articles of
-their own stay out as long as there is other content.
+their own stay out as long as there is other content. On a page without marked content, a form or
+an element whose name says more than a listed word stays if it holds most of the page's words:
+it wraps the page. Quotes delimit a value directly after ``=`` only.
 
 Character references are decoded; white space inside a block becomes one space; blocks are
 trimmed and joined by one space, in page order. Whole pages are read.
@@ -42,6 +49,9 @@ from swipelens.llm.common import ship, whole
 LABELLED_PAGES = 2000
 #: Larger pages are not used as labelled ones, so that the sample stays within memory.
 LABELLED_BYTES = 1 << 16
+#: A name is evidence if so many labelled pages have words in it; the names most pages have are learned.
+NAME_PAGES = 3
+LEARNED_NAMES = 10_000
 
 # Names of HTML elements and of what pages are made of besides content.
 RAW = frozenset("script style noscript template iframe svg textarea select object canvas annotation annotation-xml".split())
@@ -64,10 +74,14 @@ ADVERTS = frozenset("ad ads advert adverts advertisement advertising".split())
 #: Groups whose items are often marked up as articles of their own.
 GROUPS = frozenset("comment comments disqus related replies reply respond".split())
 #: Inside the content a name counts if it has one of these words, and else only words of PLACES.
-NAMES_INSIDE = frozenset("ad ads adsbygoogle advert adverts advertisement comments disqus share sharing".split())
+NAMES_INSIDE = frozenset(
+    "ad ads adsbygoogle advert adverts advertisement comment comments consent cookie cookies disqus newsletter share "
+    "sharing sidebar subscribe".split()
+)
 PLACES = frozenset(
-    "area article bar block body bottom box buttons container count entry group holder inline inner left links list "
-    "outer page panel post right row section slot social thread tools top unit widget wrap wrapper".split()
+    "area article banner bar block body bottom box buttons container count entry form group holder inline inner left "
+    "links list notice outer page panel post right row section signup slot social thread tools top unit widget wrap "
+    "wrapper".split()
 )
 CONTAINERS = frozenset("div section aside ul ol dl table figure footer header nav center details fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -89,18 +103,21 @@ UNSEEN = -0.05
 RESULTS = ["text", "n_chars"]
 
 _OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
-_STOP = re.compile(r"[>\"']")
+#: The rest of a tag. A quote without a partner is an ordinary character.
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>""")
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 @dataclass
 class Weights:
-    """Score of a word, and of the tags by name; other tags cost ``other``."""
+    """Score of a word, and of the tags by name; other tags cost ``other``. A word in an element
+    whose name speaks against content has the score in ``names``."""
 
     word: float = 1.0
     tags: dict[str, float] = field(default_factory=dict)
     other: float = -1.0
+    names: dict[str, float] = field(default_factory=dict)
 
     def of(self, tag: str) -> float:
         """Inline tags are neutral. A script or a gap says nothing about the text around it, so it costs the least."""
@@ -127,9 +144,15 @@ class Weights:
         return cls(ratio("#", WORD_BOUNDS), dict(sorted(tags.items())), tags.get("other", UNSEEN))
 
 
+def name_scores(inside: dict[str, int], outside: dict[str, int]) -> dict[str, float]:
+    """Log ratios of the words in elements of a name; only names that hold more words outside."""
+    scores = {n: math.log((inside.get(n, 0) + 0.5) / (outside[n] + 0.5)) for n in sorted(outside)}
+    return {n: max(score, TAG_BOUNDS[0]) for n, score in scores.items() if score < 0}
+
+
 def tokens(page: str) -> Iterator[tuple[str, bool, str]]:
     """(kind, closing, rest): kind "" is text; otherwise a lower-case tag with its attributes."""
-    at, size, hidden = 0, len(page), {'"': False, "'": False}
+    at, size = 0, len(page)
     while at < size:
         hit = _OPEN.search(page, at)
         if hit is None:
@@ -146,18 +169,10 @@ def tokens(page: str) -> Iterator[tuple[str, bool, str]]:
             end = page.find(">", hit.end())
             at = size if end < 0 else end + 1
             continue
-        end = hit.end()
-        while True:
-            stop = _STOP.search(page, end)
-            if stop is None:
-                return
-            end = stop.end()
-            if stop[0] == ">":
-                break
-            # A quote without a partner is an ordinary character; it is looked for once.
-            closing = -1 if hidden[stop[0]] else page.find(stop[0], end)
-            hidden[stop[0]] = closing < 0
-            end = end if closing < 0 else closing + 1
+        rest = _REST.match(page, hit.end())
+        if rest is None:
+            return
+        end = rest.end()
         name = name.lower()
         yield name, bool(slash), page[hit.end():end - 1]
         at = end
@@ -168,8 +183,9 @@ def tokens(page: str) -> Iterator[tuple[str, bool, str]]:
             at = close.start()
 
 
-#: Why an element is dropped: by its kind or as a group of its own, as an advert, by a name of the layout.
-KIND, ADVERT, LAYOUT = 1, 2, 3
+#: Why an element is dropped: by its kind or as a group of its own, as an advert, by a name of the layout,
+#: or as a form or by a name that says more than that.
+KIND, ADVERT, LAYOUT, UNCLEAR = 1, 2, 3, 4
 
 
 def _words_of(name: str, attributes: str) -> Iterator[str]:
@@ -187,28 +203,46 @@ def _names_outside(name: str, attributes: str) -> set[str]:
     return NOT_CONTENT.intersection(parts)
 
 
+def _said(word: str) -> set[str]:
+    parts = [p.lower() for p in (word.split("-") if word == word.lower() else _PARTS.findall(word))]
+    return {p for p in parts if p and not p.isdigit()}
+
+
 def _names_inside(name: str, attributes: str) -> set[str]:
     """Words of NAMES_INSIDE in names that say nothing else."""
     found = set()
     if name in CONTAINERS:
-        for word in _words_of(name, attributes):
-            parts = [p.lower() for p in (word.split("-") if word == word.lower() else _PARTS.findall(word))]
-            said = {p for p in parts if p and not p.isdigit()}
+        for said in map(_said, _words_of(name, attributes)):
             if said <= NAMES_INSIDE | PLACES:
                 found |= said & NAMES_INSIDE
     return found
 
 
+def _clear(name: str, attributes: str) -> bool:
+    """Whether one of the names says that the element is no content, and nothing else."""
+    words = map(_said, _words_of(name, attributes))
+    return any(said & NOT_CONTENT and said <= NOT_CONTENT | PLACES for said in words)
+
+
+def _evidence(name: str, attributes: str) -> tuple[str, ...]:
+    """The keys under which the names of an element are learned."""
+    return tuple({f"{name}.{word.lower()}" for word in _words_of(name, attributes)})
+
+
 def _reason(name: str, attributes: str, inside: bool) -> int:
     """0 if the element is not dropped."""
     if name in DROPPED or (name == "header" and not inside):
-        return LAYOUT if name == "form" else KIND
+        return UNCLEAR if name == "form" else KIND
     if inside and any(a.lower() == "role" and "navigation" in g for a, *g in _NAMES.findall(attributes)):
         return KIND
     names = (_names_inside if inside else _names_outside)(name, attributes)
     if not names:
         return 0
-    return KIND if names & GROUPS else ADVERT if inside or names & ADVERTS else LAYOUT
+    if names & GROUPS:
+        return KIND
+    if inside or names & ADVERTS:
+        return ADVERT
+    return LAYOUT if _clear(name, attributes) else UNCLEAR
 
 
 @dataclass(slots=True, eq=False)
@@ -227,22 +261,49 @@ class _Element:
     drop: bool = False
     #: Dropped only up to the first article or main in it.
     ends: bool = False
+    names: tuple[str, ...] = ()
 
 
-def _elements(found: list[tuple[str, bool, str]]) -> tuple[dict[int, _Element], dict[int, list[_Element]]]:
-    """The elements by the position of their first tag, and those that end at a position.
+def _keep_wrappers(found: list[tuple[str, bool, str]], opened: dict[int, _Element], owners: dict[int, _Element]) -> None:
+    """Elements dropped for an unclear reason stay if they hold most words of those not dropped otherwise."""
+    hidden: dict[_Element, bool] = {}
+    words: Counter = Counter()
+    for one in opened.values():
+        hidden[one] = one.reason in (KIND, ADVERT, LAYOUT) or (one.parent is not None and hidden[one.parent])
+    total = 0
+    for at, (name, _, rest) in enumerate(found):
+        one = owners.get(at)
+        if not name and not (one is not None and hidden[one]):
+            total += (n := len(rest.split()))
+            if one is not None:
+                words[one] += n
+    for one in reversed(opened.values()):
+        if one.parent is not None:
+            words[one.parent] += words[one]
+        if one.reason == UNCLEAR and 2 * words[one] > total:
+            one.drop = False
+
+
+def _elements(
+    found: list[tuple[str, bool, str]],
+) -> tuple[dict[int, _Element], dict[int, list[_Element]], dict[int, _Element]]:
+    """The elements by the position of their first tag, those that end at a position, and the
+    innermost ones around the texts.
 
     The end of an element ends those that were opened inside it; an end without a beginning is
     ignored. An open paragraph ends where the next block begins.
     """
     opened: dict[int, _Element] = {}
     ended: dict[int, list[_Element]] = {}
+    owners: dict[int, _Element] = {}
     stack: list[_Element] = []
     names: Counter = Counter()
     for at, (name, closing, rest) in enumerate(found):
         if not name:
-            if stack and stack[-1].shown and not rest.isspace():
-                stack[-1].shown.has_text = True
+            if stack:
+                owners[at] = stack[-1]
+                if stack[-1].shown and not rest.isspace():
+                    stack[-1].shown.has_text = True
         elif closing:
             gone = ended[at] = []
             while names[name]:
@@ -258,7 +319,7 @@ def _elements(found: list[tuple[str, bool, str]]) -> tuple[dict[int, _Element],
                 ended[at][0].closed = True
             parent = stack[-1] if stack else None
             inside = parent is not None and (parent.inside or parent.name in CONTENT)
-            one = opened[at] = _Element(name, parent, _reason(name, rest, inside), inside=inside)
+            one = opened[at] = _Element(name, parent, _reason(name, rest, inside), inside=inside, names=_evidence(name, rest))
             if name in CONTENT:
                 one.shown = one
                 around = parent
@@ -275,25 +336,29 @@ def _elements(found: list[tuple[str, bool, str]]) -> tuple[dict[int, _Element],
     for one in opened.values():
         one.drop = bool(one.reason)
         if one.holds:
-            one.drop = bool(one.reason) and not (one.reason == LAYOUT and one.closed)
+            one.drop = bool(one.reason) and not (one.reason in (LAYOUT, UNCLEAR) and one.closed)
             one.ends = not (one.reason == KIND and one.closed and other)
-    return opened, ended
+    reasons = {one.reason for one in opened.values()}
+    if UNCLEAR in reasons and not any(one.name in CONTENT for one in opened.values()):
+        _keep_wrappers(found, opened, owners)
+    return opened, ended, owners
 
 
-def items(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(tag, text, in_content): the tags, and the texts that may be content, in page order.
+def items(page: str) -> Iterator[tuple[str, str, bool, _Element | None]]:
+    """(tag, text, in_content, around): the tags, and the texts that may be content with the
+    innermost elements around them, in page order.
 
     An element that is no content is given as its two ends alone, named ``GAP`` inside the
     content and ``OUT`` elsewhere.
     """
     found = list(tokens(page))
-    opened, ended = _elements(found)
+    opened, ended, owners = _elements(found)
     dropped: list[_Element] = []
     content = 0
     for at, (name, closing, rest) in enumerate(found):
         if not name:
             if not dropped:
-                yield "", rest, content > 0
+                yield "", rest, content > 0, owners.get(at)
             continue
         hidden, gap = bool(dropped), GAP if content else OUT
         for one in ended.get(at, ()):
@@ -311,7 +376,7 @@ def items(page: str) -> Iterator[tuple[str, str, bool]]:
                 dropped.append(one)
             content += name in CONTENT
         if not (hidden and dropped):
-            yield gap if (hidden or dropped) and name not in CONTENT else name, "", content > 0
+            yield gap if (hidden or dropped) and name not in CONTENT else name, "", content > 0, None
 
 
 def kind_of(name: str) -> str:
@@ -322,7 +387,7 @@ def count_kinds(page: str) -> tuple[Counter, Counter] | None:
     """Words ("#") and tags inside and outside the content of a labelled page, as they are scored."""
     inside, outside, regions = Counter(), Counter(), 0
     was_inside = False
-    for name, text, in_content in items(page):
+    for name, text, in_content, _ in items(page):
         regions += in_content and not was_inside
         was_inside = in_content
         if not name:
@@ -332,6 +397,28 @@ def count_kinds(page: str) -> tuple[Counter, Counter] | None:
     return (inside, outside) if regions == 1 else None
 
 
+def count_names(page: str) -> tuple[Counter, Counter]:
+    """Words in the elements of each name, inside and outside the content."""
+    counted: dict[_Element | None, list[int]] = {}
+    for name, text, in_content, around in items(page):
+        if not name:
+            counted.setdefault(around, [0, 0])[not in_content] += len(text.split())
+    names: dict[_Element | None, frozenset[str]] = {None: frozenset()}
+    inside, outside = Counter(), Counter()
+    for one, (within, beyond) in counted.items():
+        path = []
+        while one not in names:
+            path.append(one)
+            one = one.parent
+        found = names[one]
+        for one in reversed(path):
+            found = names[one] = found.union(one.names) if one.names else found
+        for key in found:
+            inside[key] += within
+            outside[key] += beyond
+    return inside, outside
+
+
 def best_region(scores: list[float]) -> tuple[int, int]:
     """Bounds of the contiguous run with the largest sum; empty if no sum is positive."""
     best, low, high, run, start = 0.0, 0, 0, 0.0, 0
@@ -344,13 +431,42 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return low, high
 
 
+def region_scores(found: list[tuple[str, str, bool, _Element | None]], weights: Weights) -> list[float]:
+    """What each item adds to the region it is in."""
+    sizes = [0 if name else len(text.split()) for name, text, _, _ in found]
+    inside = sum(size for size, one in zip(sizes, found) if one[2])
+    marked = inside > 0 and 2 * inside >= sum(sizes)
+    known: dict[_Element, float] = {}
+    scores = []
+    for size, (name, _, in_content, around) in zip(sizes, found):
+        if name:
+            scores.append(weights.of(name))
+        elif in_content:
+            scores.append(weights.word * size)
+        else:
+            score = -weights.word if marked else weights.word
+            scores.append(min(score, _against(around, weights.names, known)) * size)
+    return scores
+
+
+def _against(around: _Element | None, names: dict[str, float], known: dict[_Element, float]) -> float:
+    """The strongest evidence of the names around a text; infinite if there is none."""
+    path = []
+    while around is not None and around not in known:
+        path.append(around)
+        around = around.parent
+    least = math.inf if around is None else known[around]
+    for one in reversed(path):
+        least = known[one] = min(least, *(names.get(n, math.inf) for n in one.names), math.inf)
+    return least
+
+
 def main_text(page: str, weights: Weights) -> str:
     found = list(items(page))
-    scores = [weights.of(name) if name else weights.word * len(text.split()) for name, text, _ in found]
-    low, high = best_region(scores)
+    low, high = best_region(region_scores(found, weights))
     blocks: list[str] = []
     open_block: list[str] = []
-    for name, text, _ in found[low:high]:
+    for name, text, *_ in found[low:high]:
         if not name:
             open_block.append(references.unescape(text))
         elif name not in INLINE:
@@ -361,7 +477,7 @@ def main_text(page: str, weights: Weights) -> str:
 
 
 def fit(pages: DataFrame, html: str = "html", limit: int = LABELLED_PAGES) -> Weights:
-    """Count words and tags of the labelled pages. One row per tag name reaches the driver."""
+    """Count words and tags of the labelled pages. One row per tag name and ``LEARNED_NAMES`` more reach the driver."""
     ship(pages.sparkSession)
     text = F.lower(F.col(html))
     labelled = pages.where(F.octet_length(html) <= LABELLED_BYTES).where(
@@ -372,22 +488,36 @@ def fit(pages: DataFrame, html: str = "html", limit: int = LABELLED_PAGES) -> We
     labelled = labelled.where(F.pmod("h", F.lit(1 << 40)) < share).orderBy("h", "page").limit(limit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        inside, outside = Counter(), Counter()
         for batch in batches:
-            for counted in map(count_kinds, batch["page"]):
+            # Tags are counted under their own names, the words of named elements under "tag.name".
+            inside, outside, seen = Counter(), Counter(), Counter()
+            for page in batch["page"]:
+                counted = count_kinds(page)
                 if counted:
-                    inside.update(counted[0])
-                    outside.update(counted[1])
-        kinds = sorted(set(inside) | set(outside))
-        if not kinds:
-            return
-        yield pd.DataFrame({"kind": kinds, "i": [inside[k] for k in kinds], "o": [outside[k] for k in kinds]})
-
+                    for of_page in (counted, count_names(page)):
+                        inside.update(of_page[0])
+                        outside.update(of_page[1])
+                        seen.update(of_page[0].keys() | of_page[1].keys())
+            kinds = sorted(seen)
+            if kinds:
+                columns = {"i": inside, "o": outside, "n": seen}
+                yield pd.DataFrame({"kind": kinds, **{c: [of[k] for k in kinds] for c, of in columns.items()}})
+
+    counts = (
+        labelled.repartition(8, "h").select("page").mapInPandas(run, "kind STRING, i BIGINT, o BIGINT, n BIGINT")
+        .groupBy("kind").agg(F.sum("i").alias("i"), F.sum("o").alias("o"), F.sum("n").alias("n"))
+    )
+    named = F.col("kind").contains(".")
+    most = F.when(named, F.col("n")).otherwise(F.lit(1 << 62))
     rows = (
-        labelled.repartition(8, "h").select("page").mapInPandas(run, "kind STRING, i BIGINT, o BIGINT")
-        .groupBy("kind").agg(F.sum("i").alias("i"), F.sum("o").alias("o")).collect()
+        counts.where(~named | ((F.col("o") > F.col("i")) & (F.col("n") >= NAME_PAGES)))
+        .orderBy(most.desc(), "kind").limit(LEARNED_NAMES + len(KNOWN_TAGS) + 3).collect()
     )
-    return Weights.of_counts({r["kind"]: r["i"] for r in rows}, {r["kind"]: r["o"] for r in rows})
+    tags = [r for r in rows if "." not in r["kind"]]
+    weights = Weights.of_counts({r["kind"]: r["i"] for r in tags}, {r["kind"]: r["o"] for r in tags})
+    names = [r for r in rows if "." in r["kind"]]
+    weights.names = name_scores({r["kind"]: r["i"] for r in names}, {r["kind"]: r["o"] for r in names})
+    return weights
 
 
 def extract(pages: DataFrame, html: str = "html", weights: Weights | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import html
+import math
 import re
 
 import pytest
@@ -144,3 +145,53 @@ def test_weights_count_what_is_scored():
     found = extract.Weights.of_counts({"#": 100_000, "p": 4_000, "li": 2}, {"div": 500, "#": 5})
     assert found.tags["li"] == extract.TAG_BOUNDS[1] and found.tags["td"] == extract.UNSEEN
     assert found.tags["div"] == extract.TAG_BOUNDS[0] and found.of("a") == 0
+
+
+@pytest.mark.parametrize("page,want", [
+    # Unnamed blocks around marked content.
+    (f"<article><p>{WORDS}</p><p>{WORDS}</p></article><div class='x1'>All rights and so on reserved</div>", f"{WORDS} {WORDS}"),
+    (f"<div><a>Home</a><a>News</a><a>Sport page</a></div><article><p>{WORDS}</p></article>", WORDS),
+    # A card as an article does not take the page away from unmarked content.
+    (f"<div><p>{WORDS} {WORDS}</p><p>{WORDS}</p></div><article>card</article>", f"{WORDS} {WORDS} {WORDS} card"),
+    # Wrappers of a page without marked content.
+    (f"<form id='f'><p>{WORDS}</p><input name='q'></form>", WORDS),
+    (f"<div class='layout has-sidebar'><div class='sidebar'>no</div><p>{WORDS}</p></div>", WORDS),
+    (f"<div class='social-science'><p>{WORDS}</p></div><footer>foot</footer>", WORDS),
+    (f"<form><div class='social-science'><p>{WORDS}</p></div><div class='sidebar'>{WORDS} {WORDS}</div></form>", WORDS),
+    (f"<div class='sidebar'>{WORDS} {WORDS}</div><p>{WORDS}</p>", WORDS),
+    # Quotes delimit directly after "=" only.
+    (f"<p title=Bob's>{WORDS}</p><p>it's {WORDS}</p>", f"{WORDS} it's {WORDS}"),
+    (f"<p title = \"a > b's\">{WORDS}</p>", WORDS),
+    (f"<p it's>{WORDS}</p><p>don't</p>", f"{WORDS} don't"),
+    # Comments, notices and sidebars inside the content.
+    (f"<article><p>{WORDS}</p><div class='comment'>x</div><ul id='comment-list'><li>x</li></ul></article>", WORDS),
+    (f"<main><div class='cookie-notice'>x</div><p>{WORDS}</p><div class='newsletter-signup'>x</div><div class='sidebar'>x</div></main>", WORDS),
+    (f"<main><div class='comment-on-the-law'>{WORDS}</div></main>", WORDS),
+])
+def test_evidence_around_and_inside_the_content(page, want):
+    assert extract.main_text(page, extract.Weights(1.0, {}, -0.02)) == want
+
+
+def test_names_are_learned_and_the_scan_decides(spark):
+    labelled = (
+        "<div class='qq7'><p>{0} links and things to buy now</p></div><article><div class='zz'><p>one two three four {0}</p></div></article>"
+        "<section id='legal-x'>all of the rights are reserved {0}</section>"
+    )
+    frame = spark.createDataFrame([(i, "u", labelled.format(i), "", "") for i in range(6)], SCHEMA)
+    found = extract.fit(frame)
+    assert set(found.names) == {"div.qq7", "section.legal-x"} and max(found.names.values()) < 0
+    words = " ".join(f"w{i}" for i in range(30))
+    page = f"<div class='qq7'>some words here that nobody wants</div><div><p>{words}</p></div><section id='legal-x'>more words of no use here</section>"
+    assert extract.main_text(page, found) == words
+    everything = extract.main_text(page, extract.Weights(1.0, {}, 0.0))
+    assert everything != words and words in everything
+    # Names that few pages show, or that hold content as well, are no evidence.
+    assert extract.fit(frame.limit(2)).names == {}
+    assert "div.zz" not in found.names
+    assert extract.name_scores({"a": 5, "b": 1}, {"a": 5, "b": 9, "c": 1}) == pytest.approx({"b": math.log(1.5 / 9.5), "c": math.log(0.5 / 1.5)})
+
+
+def test_deep_pages_take_linear_time(table_weights):
+    page = "<div class='a'><p>x " * 50_000
+    assert extract.main_text(page, table_weights).split() == ["x"] * 50_000
+    assert extract.main_text("<form>" * 50_000 + WORDS, table_weights) == WORDS
