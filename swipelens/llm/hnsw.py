@@ -9,11 +9,15 @@ Points are inserted in batches: a batch searches the graph as it stands, then li
 found and to its own members, by the usual rule that a neighbour must be nearer to the point
 than to a neighbour already chosen. Searches advance many queries at once, one step each.
 
-Queries go to every shard in blocks, and the best of all shards are merged by the exact score:
-the cosine of the original vectors in double precision. The graph is searched in single
-precision; all that a search finds is scored exactly, and where what it finds is too alike for
-single precision to tell, all points of the shard are. Shards, blocks and so tasks have a
-bounded size; more rows mean more of them.
+Queries are written to the shared folder once. The task that holds a shard reads them from there
+block by block, so neither queries nor graphs are copied by a shuffle: what moves is each shard
+once, and the ``k`` best of every query and shard. Beyond ``PART_QUERIES`` queries a shard goes to
+several tasks, each of which reads a part of the files.
+
+The best of all shards are merged by the exact score: the cosine of the original vectors in double
+precision. The graph is searched in single precision; all that a search finds is scored exactly,
+and where what it finds is too alike for single precision to tell, all points of the shard are.
+Shards, blocks and so the memory of tasks have a bounded size; more rows mean more of them.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components take no
 part, as query or candidate. Vectors of different lengths are never compared. Rows without an
@@ -33,14 +37,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipelens.llm.common import ship
-from swipelens.session import materialize
+from swipelens.llm.files import rows_of
+from swipelens.session import materialize, new_path
 
 #: Neighbours per point on the upper levels; the lowest has twice as many.
 LINKS = 16
 BUILD_BEAM = 96
 SEARCH_BEAM = 128
-SHARD_ROWS = 4096
+SHARD_ROWS = 16384
 BLOCK_ROWS = 2048
+#: Queries that one task asks one shard.
+PART_QUERIES = 1 << 18
 #: Points that are inserted, or queries that are advanced, together.
 BATCH = 256
 
@@ -288,41 +295,59 @@ def _load(row) -> tuple[Graph, np.ndarray, list[np.ndarray]]:
     return Graph(_unit(vectors), np.frombuffer(row["levels"], np.int8), levels), vectors, ids
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _blocks(folder: str, dim: int, part: int, parts: int, block_rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the written queries with ``dim`` components, ``block_rows`` at a time."""
+    ids: list[int] = []
+    vectors: list[list[float]] = []
+    for batch in rows_of(folder, part, parts, block_rows):
+        for query, vector in zip(batch.column("query_id").to_pylist(), batch.column("vector").to_numpy(zero_copy_only=False)):
+            if len(vector) == dim:
+                ids.append(query)
+                vectors.append(vector)
+            if len(ids) == block_rows:
+                yield np.array(ids), np.stack(vectors)
+                ids, vectors = [], []
+    if ids:
+        yield np.array(ids), np.stack(vectors)
+
+
+def search_index(
+    index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM, block_rows: int = BLOCK_ROWS,
+    part_queries: int = PART_QUERIES,
+) -> DataFrame:
     """The ``k`` nearest of all shards for each query (vec_id, vector), ranked from 1."""
-    ship(index.sparkSession)
-    blocks = max(1, -(-queries.count() // block_rows))
-    # Each block of queries meets each shard.
-    last = index.agg(F.max("shard")).first()[0] or 0
-    met = queries.select(
-        F.col("vec_id").alias("query_id"), "vector", F.size("vector").alias("dim"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))).alias("shard"),
-    )
-    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-
-    def ask(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(shard) and len(block):
-            graph, vectors, ids = _load(shard.iloc[0])
-            units = _unit(vectors, np.float64)
-            wanted = np.stack(block["vector"].to_list())
-            for at in range(0, len(block), BATCH):
-                some = wanted[at:at + BATCH]
-                found, scores = graph.search(_unit(some), max(beam, k + 1))
-                for query, vector, unit, near, score in zip(
-                    block["query_id"].iloc[at:at + BATCH], some, _unit(some, np.float64), found, scores
-                ):
-                    near = _best(unit, units, near, score, k + 1)
-                    exact = cosines(vector, vectors[near])
-                    pairs = [(-s, int(i)) for s, p in zip(exact, near) for i in ids[p] if i != query]
-                    out += [(query, i, -s) for s, i in sorted(pairs)[:k]]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
-            {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-        )
-
-    keys = ["dim", "shard", "block"]
-    found = spread.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInPandas(ask, FOUND)
+    spark = index.sparkSession
+    ship(spark)
+    folder = new_path(spark)
+    asked = queries.select(F.col("vec_id").alias("query_id"), "vector")
+    asked.write.option("maxRecordsPerFile", max(1, part_queries // 16)).parquet(folder)
+    parts = max(1, -(-spark.read.schema("query_id BIGINT, vector ARRAY<DOUBLE>").parquet(folder).count() // part_queries))
+    spread = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    tasks = max(1, index.count() * parts)
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(len(frame)):
+                row = frame.iloc[at]
+                graph, vectors, ids = _load(row)
+                units = _unit(vectors, np.float64)
+                for wanted_ids, wanted in _blocks(folder, int(row["dim"]), int(row["part"]), parts, block_rows):
+                    out = []
+                    for first in range(0, len(wanted), BATCH):
+                        some = wanted[first:first + BATCH]
+                        found, scores = graph.search(_unit(some), max(beam, k + 1))
+                        for query, vector, unit, near, score in zip(
+                            wanted_ids[first:first + BATCH], some, _unit(some, np.float64), found, scores
+                        ):
+                            near = _best(unit, units, near, score, k + 1)
+                            exact = cosines(vector, vectors[near])
+                            pairs = [(-s, int(i)) for s, p in zip(exact, near) for i in ids[p] if i != query]
+                            out += [(int(query), i, -s) for s, i in sorted(pairs)[:k]]
+                    yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
+                        {"query_id": "int64", "vec_id": "int64", "score": "float64"}
+                    )
+
+    found = spread.repartition(tasks, "dim", "shard", "part").mapInPandas(ask, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"

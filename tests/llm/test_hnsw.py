@@ -112,3 +112,13 @@ def test_recall_with_a_group_of_near_copies_over_full_shards(spark, noise):
         hits[q in near or q in line] += [(-s, i) in want for i, s in found]
     assert len(got) == -(-size // 50) and all(len(f) == 5 for f in got.values())
     assert np.mean(hits[True]) == 1 and np.mean(hits[False]) >= 0.97
+
+
+def test_parts_of_the_queries_give_what_one_part_gives(spark):
+    rows = hnsw.usable(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"), "vec_id", "embedding")
+    index = hnsw.materialize(hnsw.build_index(rows, 3, 200))
+    asked = rows.where("vec_id % 9 = 0").distinct()
+    want = listed(hnsw.search_index(index, asked, 3))
+    assert len(want) == asked.count() > 0
+    for part_queries, block_rows in [(16, 5), (40, 1)]:
+        assert listed(hnsw.search_index(index, asked, 3, block_rows=block_rows, part_queries=part_queries)) == want
