@@ -1,5 +1,7 @@
 import itertools
 import math
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -214,3 +216,45 @@ def test_contributions_add_up_to_the_margin(spark, small):
     margin = model.transform(rows).select("trans_num", G.vector_to_array("rawPrediction")[1].alias("m"))
     off = sums.join(margin, "trans_num").where(F.abs(F.col("s") + base - F.col("m")) > 1e-9)
     assert sums.count() == 50 and off.count() == 0
+
+
+@pytest.mark.parametrize("n", [37, 3 * B.FEW_ROWS])
+def test_joint_codes_count_like_single_columns(n):
+    sizes, rng = [200, 3, 1, 30, 256, 12, 2, 40], np.random.default_rng(3)
+    bins = np.stack([rng.integers(0, s, n) for s in sizes], 1).astype(np.uint8)
+    columns, weight = B.Columns(bins, sizes), np.rint(rng.normal(0, 1e6, n))
+    assert len(columns.groups) < len(sizes)
+    rows = np.flatnonzero(rng.random(n) < 0.9)
+    for f, size in enumerate(sizes):
+        assert (columns.of(f, rows) == bins[rows, f]).all()
+        found = columns.count(rows, weight)[:, columns.starts[f]:columns.starts[f + 1]]
+        assert (found[0] == np.bincount(bins[rows, f], weight[rows], size)).all()
+        assert (found[1] == np.bincount(bins[rows, f], minlength=size)).all()
+
+
+@pytest.mark.parametrize("folder", ["{}", "file:{}", "file://{}"])
+def test_tasks_add_up_through_files(tmp_path, folder):
+    parts = [np.array([[0.0, -7, 2.0**50], [5, -(2.0**50), t]]) for t in range(3)]
+
+    def task(own):
+        exchange = B.Exchange(folder.format(tmp_path / "sums"), own, 3)
+        return [exchange.total(parts[own] * k) for k in range(1, 6)]
+
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(task, range(3)))
+    for sums in found:
+        for k, total in enumerate(sums, start=1):
+            assert (total == sum(parts) * k).all()
+    # Only the last round is left.
+    assert len(list((tmp_path / "sums").iterdir())) <= 3
+
+
+def test_many_sums_over_tasks_take_no_second_each(spark, small, monkeypatch):
+    df, _, _ = small
+    bins = G.binned(df, "is_fraud")
+    monkeypatch.setattr(B, "TASK_BYTES", 160)
+    begin = time.monotonic()
+    model = B.fit(bins, B.BoostParams.of({"maxIter": 30, "numLeaves": 12, "minInstancesPerNode": 3}, 7))
+    assert model.nodes["tree"].nunique() == 30
+    # Root and children of thirty trees: sixty exchanges at least.
+    assert time.monotonic() - begin < 40
