@@ -181,3 +181,22 @@ def test_query_walks_the_folds_with_all_presets(spark, monkeypatch):
     monkeypatch.setattr(G, "fold_results", stub)
     found = QUERIES["fold_means"](spark, "/root/testdata/sf0.001").collect()
     assert asked == [(5, list(G.PRESETS))] and {r["model"] for r in found} == set(G.PRESETS)
+
+
+def test_forest_keeps_nodes_and_uses_the_slots(spark, matrix, monkeypatch):
+    _, train, _ = matrix
+    settings = G.estimator("Random Forest", {}, C.TARGET, None, C.SEED, 1.0)
+    assert settings.getCacheNodeIds() and settings.getMaxMemoryInMB() > 256
+    quick = {**QUICK["Random Forest"], "maxMemoryInMB": 256}
+    kept, walked = (G.train(train, "Random Forest", cacheNodeIds=k, **quick) for k in (True, False))
+    # The first line names the fit.
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+    # A small table stays as it is, a large one is dealt over the slots.
+    slots = spark.sparkContext.defaultParallelism
+    width = len(train.first()["features"])
+    assert G.forest_tasks(train, 100) == 1
+    assert G.forest_tasks(train, 3 * G.FOREST_BYTES // (8 * width)) == min(3, slots)
+    assert G.forest_tasks(train, 10**9) == slots
+    monkeypatch.setattr(G, "FOREST_BYTES", 1 << 12)
+    spread = G.train(train, "Random Forest", **QUICK["Random Forest"])
+    assert spread.getNumTrees == 10 and spread.totalNumNodes > 10
