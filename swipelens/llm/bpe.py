@@ -215,6 +215,10 @@ class Remembered(dict):
             self.held += sum(map(sys.getsizeof, value))
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.before, self.held = {}, 0
+
 
 class IncrementalDecoder:
     """Text of ids that arrive one by one.
@@ -289,6 +293,12 @@ class Codec:
             cls._open[name] = cls(spec)
         return cls._open[name]
 
+    def forget(self) -> None:
+        """Give up what is remembered, and memory of batches that are gone."""
+        for remembered in (*self.ids_of.values(), *self.summary_of.values()):
+            remembered.forget()
+        pa.default_memory_pool().release_unused()
+
     @staticmethod
     def _is_known(data: dict) -> bool:
         normal = [n["type"] for n in (data.get("normalizer") or {}).get("normalizers", [])]
@@ -492,6 +502,8 @@ def transcode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                     first, found, digests, held = at + 1, [], [], 0
             if found:
                 yield record(batch.slice(first), found, digests)
+        # Workers stay while other stages run, which need the memory.
+        codec.forget()
 
     return df.select(*[F.col(f"`{c}`") for c in kept], whole(text).alias(body)).mapInArrow(run, schema)
 

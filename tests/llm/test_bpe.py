@@ -150,3 +150,13 @@ def test_decoding_byte_by_byte():
 def test_merge_lists_that_use_later_tokens_are_refused():
     with pytest.raises(ValueError):
         bpe.MergeList({"a": 0, "b": 1, "ab": 2, "abb": 3}, [("ab", "b"), ("a", "b")])
+
+
+def test_what_is_forgotten_is_found_again(codec):
+    text = "Plain words and \u4e2d\u6587 and plain words"
+    ids, digests = list(codec.encode(text)), codec.digests(text)
+    assert any(codec.ids_of.values()) and any(codec.summary_of.values())
+    codec.forget()
+    for remembered in (*codec.ids_of.values(), *codec.summary_of.values()):
+        assert not remembered and not remembered.before and not remembered.held
+    assert list(codec.encode(text)) == ids and codec.digests(text) == digests
