@@ -200,3 +200,26 @@ def test_forest_keeps_nodes_and_uses_the_slots(spark, matrix, monkeypatch):
     monkeypatch.setattr(G, "FOREST_BYTES", 1 << 12)
     spread = G.train(train, "Random Forest", **QUICK["Random Forest"])
     assert spread.getNumTrees == 10 and spread.totalNumNodes > 10
+
+
+def test_forest_deals_its_trees_over_fits(spark, matrix, monkeypatch):
+    _, train, test = matrix
+    slots = spark.sparkContext.defaultParallelism
+    row = 8 * len(train.first()["features"])
+    # Few rows leave room for a fit per slot, many take every slot for one.
+    assert G.forest_fits(train, 2 * G.FOREST_PART_BYTES // row, 300) == (slots // 2, 2)
+    assert G.forest_fits(train, 10**9, 300) == (1, slots)
+    assert G.forest_fits(train, G.FOREST_PART_BYTES // row, 3)[0] == 3
+    monkeypatch.setattr(G, "FOREST_BYTES", 1 << 12)
+    dealt, again = (G.train(train, "Random Forest", **QUICK["Random Forest"]) for _ in range(2))
+    assert dealt.getNumTrees == 10 and len({t.toDebugString.split("\n", 1)[1] for t in dealt.trees}) == 10
+    assert sum(dealt.featureImportances.toArray()) == pytest.approx(1)
+    want = rows(G.score_rows(dealt, test))
+    assert rows(G.score_rows(again, test)) == want
+    # Every tree has one vote.
+    votes = test.select(C.ROW_ID, "features").limit(1).first()
+    shares = [t.predictProbability(votes["features"])[1] for t in dealt.trees]
+    assert dealt.predictProbability(votes["features"])[1] == pytest.approx(sum(shares) / 10)
+    folder = new_path(spark)
+    G.save_model(dealt, "Random Forest", folder)
+    assert rows(G.score_rows(G.load_model("Random Forest", folder), test)) == want
