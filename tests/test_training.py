@@ -223,3 +223,34 @@ def test_forest_deals_its_trees_over_fits(spark, matrix, monkeypatch):
     folder = new_path(spark)
     G.save_model(dealt, "Random Forest", folder)
     assert rows(G.score_rows(G.load_model("Random Forest", folder), test)) == want
+
+
+def test_rows_of_few_files_are_dealt_for_scoring(matrix):
+    _, train, test = matrix
+    model, linear = (G.train(train, n, **QUICK[n]) for n in ("Random Forest", "Logistic Regression"))
+    one = materialize(test.coalesce(1))
+    # A file is one task.
+    tasks = G.SCORING_TASKS * test.sparkSession.sparkContext.defaultParallelism
+    assert G.spread(model, one).rdd.getNumPartitions() == tasks and G.spread(linear, one) is one
+    assert rows(G.score_rows(model, one)) == rows(G.score_rows(model, test))
+
+
+def test_search_begins_with_the_longest_fits(matrix, spark, monkeypatch):
+    train = materialize(feature_engineering(stand_in.train_rows(stand_in.transactions(spark, "/root/testdata/sf0.01"))))
+    asked, at_once = [], []
+
+    def seen(calls, n=G.AT_ONCE):
+        at_once.append(n)
+        return [call() for call in calls]
+
+    def small(df, name, *given, maxIter, numLeaves, **params):
+        asked.append(maxIter * numLeaves)
+        return known(df, name, *given, maxIter=2, numLeaves=4)
+
+    known = G.train
+    monkeypatch.setattr(G, "together", seen)
+    monkeypatch.setattr(G, "train", small)
+    grid = {"maxIter": [2], "numLeaves": [7, 63, 15]}
+    table, _ = G.param_search([L.time_based_split(train, 0.2)], "LightGBM", grid, 3)
+    assert asked == sorted(asked, reverse=True) and len(asked) == 3 and table.count() == 3
+    assert at_once == [max(G.AT_ONCE, spark.sparkContext.defaultParallelism)]
