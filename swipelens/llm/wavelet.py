@@ -19,6 +19,7 @@ Columns other than id and text are not stored.
 from __future__ import annotations
 
 import gc
+import re
 import struct
 import zlib
 from array import array
@@ -27,22 +28,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipelens.llm import files
-from swipelens.llm.bpe import Codec, Remembered, in_symbols, read_spec
+from swipelens.llm.bpe import LATIN_END, NOT_SPACE, STEP, Codec, Remembered, in_symbols, read_spec
 from swipelens.llm.common import ship, whole
 from swipelens.session import materialize, new_path
 
 SHARD_TOKENS = 1 << 21
 BLOCK = 512
-#: Bytes per generation that a task remembers of runs between white space, and of words.
-RUN_BYTES, WORD_BYTES = 96 << 20, 32 << 20
-#: Marks that are words of their own behind a word.
-MARKS = frozenset(".,;:!?)")
+#: Bytes that a task remembers of runs between white space, and per generation of words.
+RUN_BYTES, WORD_BYTES = 64 << 20, 32 << 20
+#: Bytes of text that are encoded together.
+TEXT_BYTES = 32 << 20
+#: A letter and a mark that is a word of its own behind it.
+MARKED = r"([a-z])([.,;:!?)])"
 #: Positions that are looked up together.
 LOOKUP = 1 << 16
 MAGIC = b"SWLWM001"
@@ -111,7 +116,8 @@ class WaveletMatrix:
         for level in range(max(1, int(ids.max(initial=0)).bit_length()) - 1, -1, -1):
             bits = (order >> ids.dtype.type(level)) & ids.dtype.type(1) != 0
             planes.append(Plane.of(bits))
-            order = np.concatenate([order[~bits], order[bits]])
+            # By positions: a mask of random bits costs four times as much.
+            order = np.concatenate([order.take(np.flatnonzero(~bits)), order.take(np.flatnonzero(bits))])
         has_id = np.array([d is not None for d in docs], bool)
         return cls(len(ids), planes, np.array([d or 0 for d in docs], "<i8"), has_id, np.array(starts, "<u8"), partition, base)
 
@@ -134,7 +140,8 @@ class WaveletMatrix:
         for shift, plane in enumerate(reversed(self.planes)):
             bits = np.unpackbits(plane.words.view(np.uint8), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(ids)
-            above[~bits], above[bits] = ids[:plane.zeros], ids[plane.zeros:] | ids.dtype.type(1 << shift)
+            above[np.flatnonzero(~bits)] = ids[:plane.zeros]
+            above[np.flatnonzero(bits)] = ids[plane.zeros:] | ids.dtype.type(1 << shift)
             ids = above
         return ids
 
@@ -193,75 +200,147 @@ class WaveletMatrix:
         return cls(n, planes, docs, has_id, starts, partition, base)
 
 
+class Runs:
+    """Ids of runs of text, many looked up together; what was seen lately is remembered.
+
+    The remembered runs are Arrow columns that stand before those looked up: one dictionary
+    encoding tells what is known, what is new and what repeats, so each new run is computed once
+    and the others never become Python objects. Beyond ``limit`` bytes only the runs looked up
+    last are kept; very long ones are not kept at all.
+    """
+
+    def __init__(self, compute, kind: str, limit: int):
+        self.compute, self.kind, self.limit = compute, np.dtype(kind), limit
+        self.known, self.ids = pa.array([], pa.string()), self._lists([])
+
+    def _lists(self, found: list[bytes]) -> pa.ListArray:
+        ends = np.cumsum([0, *map(len, found)]) // self.kind.itemsize
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), self.kind)))
+
+    def held(self) -> int:
+        return self.known.nbytes + self.ids.nbytes
+
+    def find(self, runs: pa.StringArray) -> pa.ListArray:
+        """The ids of each run."""
+        n = len(self.known)
+        coded = pa.concat_arrays([self.known, runs]).dictionary_encode()
+        self.known, at = coded.dictionary, coded.indices[n:]
+        new = self.known[n:]
+        self.ids = pa.concat_arrays([self.ids, self._lists(list(map(self.compute, new.to_numpy(zero_copy_only=False))))])
+        found = self.ids.take(at)
+        short = pc.less_equal(pc.binary_length(new), STEP).to_numpy(zero_copy_only=False)
+        if self.held() > self.limit or not short.all():
+            kept = np.unique(at.to_numpy()) if self.held() > self.limit else np.arange(len(self.known))
+            kept = pa.array(kept[np.append(np.ones(n, bool), short)[kept]])
+            self.known, self.ids = self.known.take(kept), self.ids.take(kept)
+        return found
+
+
 class LibraryIds:
-    """Ids of whole texts by the tokenizers library, as bytes.
+    """Ids of whole texts by the tokenizers library, with the end id behind each.
 
     Words are remembered, and so are runs of them without white space between: most runs are
-    one word and a mark, and are seen again more often than it pays to split them.
+    one word. Texts of Latin letters are lower-cased, split and looked up together.
     """
 
     def __init__(self, spec: str, end_id: int):
         self.codec = Codec(spec)
-        self.end = np.array([end_id], "<u4").tobytes()
-        model = self.codec.library.model.tokenize
+        self.kind = "<u2" if len(self.codec.tokens) <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        self.end, self.end_id = np.array([end_id], self.kind).tobytes(), end_id
+        model, code = self.codec.library.model.tokenize, np.dtype(self.kind).char
 
         def of(word: str) -> bytes:
-            return array("I", [t.id for t in model(word)]).tobytes()
-
-        latin, other = Remembered(lambda word: of(in_symbols(word)), WORD_BYTES), Remembered(of, WORD_BYTES)
+            return array(code, [t.id for t in model(word)]).tobytes()
 
         split = self.codec.latin.findall if self.codec.latin else None
 
         def run(text: str) -> bytes:
-            # Letters only are one word; with a mark behind them, two.
-            if text.isalpha():
-                return of(in_symbols(text))
-            if text[-1] in MARKS and text[:-1].isalpha():
-                return latin[text[:-1]] + latin[text[-1]]
-            return b"".join(map(latin.__getitem__, split(text)))
+            # Letters only are one word.
+            return of(in_symbols(text)) if text.isalpha() else b"".join(map(latin.__getitem__, split(text)))
 
-        self.bytes_of = {True: Remembered(run, RUN_BYTES), False: other}
+        latin = Remembered(lambda word: of(in_symbols(word)), WORD_BYTES)
+        self.bytes_of = {True: Remembered(run, WORD_BYTES), False: Remembered(of, WORD_BYTES)}
+        self.runs = Runs(run, self.kind, RUN_BYTES)
+        # What the short cut leaves to the library, spells an added token out, or is lower-cased to several characters.
+        left = "".join(rf"\x{{{c:x}}}" for c in range(LATIN_END) if chr(c) in NOT_SPACE or len(chr(c).lower()) > 1)
+        spelled = (re.sub(r"([!-/:-@[-`{-~])", r"\\\1", content) for content in self.codec.added)
+        self.alone = "|".join([rf"[{left}\x{{{LATIN_END:x}}}-\x{{10ffff}}]", *spelled])
 
     def __call__(self, text: str) -> np.ndarray:
         parts = []
         for piece in self.codec.pieces(text, runs=True):
             if isinstance(piece, int):
-                parts.append(np.array([piece], "<u4").tobytes())
+                parts.append(np.array([piece], self.kind).tobytes())
             else:
                 parts.append(b"".join(map(self.bytes_of[piece[0]].__getitem__, piece[1])))
         parts.append(self.end)
-        return np.frombuffer(b"".join(parts), "<u4")
+        return np.frombuffer(b"".join(parts), self.kind)
+
+    def together(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        if self.codec.latin is None:
+            yield from map(self, texts.to_pylist())
+            return
+        alone = pc.match_substring_regex(texts, self.alone)
+        lower = pc.utf8_lower(texts.filter(pc.invert(alone)))
+        # No word goes on from a letter to a mark, so that words come apart from the marks behind them.
+        runs = pc.utf8_split_whitespace(pc.replace_substring_regex(lower, MARKED, r"\1 \2"))
+        found = self.runs.find(runs.values)
+        ends = found.offsets.to_numpy()[runs.offsets.to_numpy()[1:]]
+        ids, ends = np.insert(found.values.to_numpy(), ends, self.end_id), ends + np.arange(1, len(ends) + 1)
+        odd, at, done = iter(texts.filter(alone).to_pylist()), iter(ends.tolist()), 0
+        for by_itself in alone.to_pylist():
+            if by_itself:
+                yield self(next(odd))
+            else:
+                begin, done = done, next(at)
+                yield ids[begin:done]
+
+    def of_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; up to ``TEXT_BYTES`` of text are taken together, longer texts by themselves."""
+        ends, first = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+        while first < len(texts):
+            before = int(ends[first - 1]) if first else 0
+            stop = int(np.searchsorted(ends, before + TEXT_BYTES, side="right"))
+            if stop == first:
+                stop += 1
+                yield self(texts[first].as_py())
+            else:
+                yield from self.together(texts.slice(first, stop - first).cast(pa.string()))
+            first = stop
 
 
 _encoders: dict[tuple[int, int], LibraryIds] = {}
 
 
 def _writer(folder: str, spec, end_id: int, shard_tokens: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named = (hash(spec.value), end_id)
         if named not in _encoders:
             _encoders[named] = LibraryIds(spec.value, end_id)
         encode, partition = _encoders[named], TaskContext.get().partitionId()
         # The tables of words are large and hold no cycles: looking for some costs a tenth of the time.
         gc.disable()
-        kind = "<u2" if len(encode.codec.tokens) <= 1 << 16 and end_id < 1 << 16 else "<u4"
         ids, docs, starts, base, shard = [], [], [0], 0, 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             nonlocal ids, docs, starts, base, shard
             name = f"part-{partition:06d}-{shard:06d}.wm"
             matrix = WaveletMatrix.build(np.concatenate(ids), docs, starts, partition, base)
             files.put(folder, name, matrix.to_bytes())
-            row = pd.DataFrame([(partition, shard, name, len(docs), starts[-1])], columns=["partition", "shard", "name", "n_docs", "n_tokens"])
+            row = pa.RecordBatch.from_arrays(
+                [pa.array([partition], pa.int32()), pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(docs)]), pa.array([starts[-1]])],
+                ["partition", "shard", "name", "n_docs", "n_tokens"],
+            )
             ids, docs, base, shard = [], [], base + starts[-1], shard + 1
             starts = [0]
             return row
 
         for batch in batches:
-            for doc, null, text in zip(batch["doc_id"], batch["no_id"], batch["text"]):
-                found = encode(text).astype(kind)
+            doc_ids, no_ids, texts = batch.columns
+            for doc, null, found in zip(doc_ids.to_pylist(), no_ids.to_pylist(), encode.of_texts(texts)):
                 ids.append(found)
-                docs.append(None if null else int(doc))
+                docs.append(None if null else doc)
                 starts.append(starts[-1] + len(found))
                 if starts[-1] >= shard_tokens:
                     yield close()
@@ -289,7 +368,7 @@ def write(
     # One order for both, so that it holds across partitions; a text itself is no fit bound.
     order = ["no_id", "doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(ordered.mapInPandas(_writer(folder, spec, end_id, shard_tokens), MANIFEST))
+    return materialize(ordered.mapInArrow(_writer(folder, spec, end_id, shard_tokens), MANIFEST))
 
 
 def shards(spark: SparkSession, folder: str) -> DataFrame:

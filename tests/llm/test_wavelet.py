@@ -2,11 +2,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
 from swipelens.llm import wavelet
+from swipelens.llm.bpe import CHUNK, LATIN_END, STEP, read_spec
 from swipelens.session import new_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -78,3 +80,55 @@ def test_lookup_across_shards(spark, documents):
     assert len(found) == manifest.count() > 1
     assert sum(r["n"] for r in found) >= documents.count()
     assert all(len(r["positions"]) == r["n"] for r in found)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return wavelet.LibraryIds(read_spec(PATH), 2)
+
+
+def odd_texts():
+    texts = [f"{a}{chr(c)}{b}{chr(c)} {chr(c)}" for c in [*range(LATIN_END + 40), 0x2028, 0x3000, 0x65E5] for a, b in (("it", "s"), ("X.", " 'S!"))]
+    texts += ["", " ", "Plain words, and (plain) words.", "a.,b c.. d!' e?'s f:'ll", "it's,we've.I'm;", "A<|endoftext|>b", "a<|endoftext|", "1.5,2;x3.", "É.È,é!"]
+    return texts + ["ha" * 3000 + ". " + "é" * 2000 + ",", "w, " * CHUNK + "\x1c!!! b", "x" * CHUNK + "y" * 9 + "."]
+
+
+@pytest.mark.parametrize("text_bytes", [1, 700, wavelet.TEXT_BYTES])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_texts_together_equal_the_library(encoder, monkeypatch, text_bytes, kind):
+    monkeypatch.setattr(wavelet, "TEXT_BYTES", text_bytes)
+    library, texts = Tokenizer.from_file(PATH), odd_texts()
+    found = list(encoder.of_texts(pa.array(["cut off", *texts], kind).slice(1)))
+    assert len(found) == len(texts)
+    for text, ids in zip(texts, found):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids + [2], repr(text[:50])
+    assert list(encoder.of_texts(pa.array([], kind))) == []
+    assert [len(ids) for ids in encoder.of_texts(pa.array(["\u65e5", "\x1c"], kind))] == [2, 2]
+
+
+def test_other_tokenizers_take_texts_one_by_one(encoder, monkeypatch):
+    texts = odd_texts()
+    want = [ids.tolist() for ids in encoder.of_texts(pa.array(texts))]
+    monkeypatch.setattr(encoder.codec, "latin", None)
+    assert [ids.tolist() for ids in encoder.of_texts(pa.array(texts))] == want
+
+
+def test_each_run_is_computed_once(encoder):
+    computed = []
+    runs = wavelet.Runs(lambda run: computed.append(run) or run.encode("utf-16-le"), "<u2", 1 << 20)
+    for words in (["a", "bc", "a", ""], ["bc", "d", "d", "a"], []):
+        assert runs.find(pa.array(words, pa.string())).to_pylist() == [list(map(ord, w)) for w in words]
+    assert computed == ["a", "bc", "", "d"]
+    # A word and the marks behind it are runs of their own: no word is computed again for a mark.
+    table = wavelet.LibraryIds(read_spec(PATH), 2)
+    list(table.of_texts(pa.array(["Word word, word. word; (word!", "word?"])))
+    assert table.runs.known.to_pylist() == ["word", ",", ".", ";", "(word", "!", "?"]
+
+
+def test_runs_are_bounded_by_bytes():
+    runs = wavelet.Runs(lambda run: run.encode("utf-16-le"), "<u2", 10_000)
+    for i in range(300):
+        words = [f"word {i + j}" for j in range(30)] + ["x" * (STEP + 1 + i), "y" * STEP]
+        assert runs.find(pa.array(words)).to_pylist() == [list(map(ord, w)) for w in words]
+        assert runs.held() < 12_000 and len(runs.known) == len(runs.ids)
+        assert max(map(len, runs.known.to_pylist())) == STEP and set(words[:30]) <= set(runs.known.to_pylist())
