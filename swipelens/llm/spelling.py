@@ -209,7 +209,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     schema = "key BIGINT, word STRING, n BIGINT, last INT"
     index = words.mapInArrow(_keyed(frequency, False), schema).toDF("key", "p", "n_p", "last_p")
     probe = words.mapInArrow(_keyed(frequency, True), schema).toDF("key", "q", "n_q", "last_q")
-    met = index.join(probe, "key").where(
+    # Spark sizes both sides as the words, of which they have many rows each: neither is broadcast.
+    met = index.hint("merge").join(probe, "key").where(
         (F.col("last_q") >= F.col("last_p")) & (F.col("p") != F.col("q")) & (F.levenshtein("p", "q", EDITS) == EDITS)
     )
     first = F.col("p") < F.col("q")
@@ -246,7 +247,7 @@ def variants(df: DataFrame, id_col: str = "doc_id", text: str = "text", ratio: i
         pairs.select(F.explode(sides).alias("_s")).select("_s.*")
         .groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     )
-    joined = words.join(near, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left")
     wins = -F.col("best.minus_n") >= ratio * F.col("n")
     judged = materialize(joined.select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),

@@ -92,3 +92,11 @@ def test_keys_lose_no_pair(words):
 ])
 def test_pivots_are_the_cheapest_disjoint_two(places, costs, chosen):
     assert spelling.disjoint(places, costs) == chosen
+
+
+def test_keys_are_never_broadcast(spark):
+    # Spark sizes the keys of words as the words themselves, so any number of them may look small.
+    rows = [(i, f"variants varients variante {'common ' * 8}") for i in range(10)]
+    words = spelling.word_counts(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"))
+    plan = spelling.near_pairs(words)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
