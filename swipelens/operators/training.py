@@ -20,6 +20,7 @@ from swipelens import config as C
 from swipelens.operators.boosting import (
     Binned, BoostedTreesModel, BoostParams, bin_edges, bin_rows, fit as fit_boosted,
 )
+from swipelens.operators import forest as R
 from swipelens.operators.encoders import FeatureEncoder
 from swipelens.operators.metrics import (
     best_by, classification_metrics, evaluate_scores, fold_means, rank_metrics,
@@ -61,10 +62,12 @@ FOREST_BYTES = 2 << 20
 #: Bytes of rows that a task of one of several fits side by side may hold: a forest's trees are dealt
 #: over such fits, since what a pass costs is tasks x open nodes and not rows.
 FOREST_PART_BYTES = 64 << 20
+#: Rows x trees up to which Spark fits a forest: its trees live on the driver, with a node for every few rows.
+FOREST_ROW_TREES = 4_000_000
 #: Memory in MB of a task's sums of open nodes; with fewer, a level takes several passes.
 FOREST_SUMS_MB = 512
 #: Models or trials, folds, and ratios that are fitted at a time; their tasks share the slots.
-AT_ONCE, FOLDS_AT_ONCE, RATIOS_AT_ONCE = 8, 2, 2
+AT_ONCE, FOLDS_AT_ONCE, RATIOS_AT_ONCE = 8, 2, 4
 #: Tasks per slot that score rows of few files by trees.
 SCORING_TASKS = 2
 
@@ -179,6 +182,17 @@ def fit_forest(
     return models[0] if fits == 1 else joined_forest(models)
 
 
+def needs_bins(name: str, df: DataFrame, rows: int, params: dict | None = None) -> bool:
+    """Whether a preset is grown on bins: boosted trees, and forests whose trees would not fit on the driver."""
+    if name != "Random Forest":
+        return name in BOOSTED
+    settings = {**PRESETS[name], **(params or {})}
+    if rows * settings["numTrees"] <= FOREST_ROW_TREES:
+        return False
+    first = df.select("features").first()
+    return first is not None and R.fits_here(df, rows, len(first[0]), settings)
+
+
 def _known(name: str) -> None:
     if name not in PRESETS:
         raise ValueError(f"unknown model {name!r}; choose from {list(PRESETS)}")
@@ -214,6 +228,10 @@ def train(
     if name in BOOSTED:
         settings = BoostParams.of({**PRESETS[name], **params}, seed)
         return fit_boosted(bins or binned(df, target), settings, (negative, positive))
+    if needs_bins(name, df, pos + neg, params):
+        # Bins take several passes over the rows.
+        bins = bins or binned(materialize(df.select("features", target)), target)
+        return R.fit(bins, (negative, positive), {**PRESETS[name], **params}, seed)
     rows = df.select("features", target)
     if weighted:
         rows = rows.withColumn(WEIGHT, F.when(F.col(target) == 1, F.lit(positive)).otherwise(F.lit(negative)))
@@ -241,10 +259,11 @@ def train_all(
         _known(name)
     rows = matrix(df, target)
     counts = class_counts(rows, target)
-    bins = binned(rows, target) if set(names) & set(BOOSTED) else None
+    own = {n: (overrides or {}).get(n, {}) for n in names}
+    bins = binned(rows, target) if any(needs_bins(n, rows, sum(counts), own[n]) for n in names) else None
 
     def one(name: str) -> Callable[[], Model]:
-        return lambda: train(rows, name, target, strategy, seed, bins, counts, **(overrides or {}).get(name, {}))
+        return lambda: train(rows, name, target, strategy, seed, bins, counts, **own[name])
 
     return dict(zip(names, together([one(n) for n in names])))
 
@@ -255,7 +274,7 @@ def safe_name(name: str) -> str:
 
 def save_model(model: Model, name: str, folder: str) -> str:
     path = f"{folder.rstrip('/')}/{safe_name(name)}"
-    if isinstance(model, BoostedTreesModel):
+    if isinstance(model, (BoostedTreesModel, R.StoredForestModel)):
         model.save(path)
     else:
         PipelineModel(stages=[model]).write().overwrite().save(path)
@@ -265,9 +284,10 @@ def save_model(model: Model, name: str, folder: str) -> str:
 def load_model(name: str, folder: str) -> Model:
     path = f"{folder.rstrip('/')}/{safe_name(name)}"
     spark = SparkSession.getActiveSession()
-    trees = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
-    if trees.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(trees):
-        return BoostedTreesModel.load(spark, path)
+    for part, kind in (("trees", BoostedTreesModel), ("forest", R.StoredForestModel)):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
+        if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            return kind.load(spark, path)
     return PipelineModel.load(path)
 
 
@@ -275,7 +295,7 @@ def spread(model: Model, df: DataFrame) -> DataFrame:
     """Rows for trees to score: those of few files are dealt over the slots, since a file is one task."""
     inner = model.stages[-1] if isinstance(model, PipelineModel) else model
     tasks = SCORING_TASKS * _slots(df)
-    walks = isinstance(inner, (RandomForestClassificationModel, BoostedTreesModel))
+    walks = isinstance(inner, (RandomForestClassificationModel, BoostedTreesModel, R.StoredForestModel))
     return df.repartition(tasks) if walks and len(df.inputFiles()) < tasks else df
 
 
