@@ -122,3 +122,18 @@ def test_other_parameters_and_large_tables_are_left_to_spark(rows, monkeypatch):
     assert not G.needs_bins("Random Forest", rows, R.MOST_BYTES)
     drawn = [R.features_drawn(s, 27) for s in ("sqrt", "all", "log2", "onethird", "0.5", "4", "auto", "none")]
     assert drawn == [6, 27, 5, 9, 14, 4, 6, None]
+
+
+def test_models_of_one_table_share_their_bins(rows, monkeypatch):
+    made, known = [], G.binned
+
+    def counted(df, *given):
+        made.append(df)
+        return known(df, *given)
+
+    monkeypatch.setattr(G, "binned", counted)
+    monkeypatch.setattr(G, "FOREST_ROW_TREES", 1000)
+    overrides = {"Random Forest": QUICK, "LightGBM": {"maxIter": 2}}
+    models = G.train_all(rows, list(overrides), overrides=overrides)
+    assert isinstance(models["Random Forest"], R.StoredForestModel) and len(made) == 1
+    assert {r["model"]: r["tp"] + r["fp"] + r["tn"] + r["fn"] for r in G.evaluate_all(models, rows).collect()} == dict.fromkeys(overrides, 3000)
